@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
@@ -88,16 +88,12 @@ def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def supplier_of(document: Column, suppliers_in_all: Column) -> Column:
-    """The square of the document number modulo the number of suppliers."""
-    rest = document % suppliers_in_all
-    return (rest * rest) % suppliers_in_all
-
-
 def supplier_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    in_all = table(spark, sf_dir, "supplier").agg(F.count(F.lit(1))).scalar()
+    """Documents as reviews of the supplier numbered by their square, modulo all suppliers."""
+    in_all = table(spark, sf_dir, "supplier").count()
+    rest = F.col("doc_id") % in_all
     return table(spark, sf_dir, "documents").select(
-        supplier_of(F.col("doc_id"), in_all).alias("listing_id"),
+        ((rest * rest) % in_all).alias("listing_id"),
         F.col("doc_id").alias("id"),
         F.col("text").alias("comments"),
     )

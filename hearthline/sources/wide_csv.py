@@ -30,25 +30,39 @@ def project_cast(raw: DataFrame, schema: StructType) -> DataFrame:
     )
 
 
-def read_wide_csv(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
+def read_wide_csv(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: StructType,
+    *,
+    check_headers: bool = True,
+) -> DataFrame:
     """Columns of ``schema`` from CSV files with a header, plain or compressed.
 
     Quoted fields may hold commas, line breaks and doubled quotes; short rows are
     filled with NULL, surplus fields dropped, other columns ignored, and nothing is
     inferred. Neither gzip nor line breaks inside fields can be split, so each file
-    is read by one task: pass a folder or a list of many files. Files whose wanted
-    columns stand in different places stop the job instead of mixing up columns
-    (``enforceSchema`` off compares every header).
+    is read by one task: pass a folder or a list of many files.
+
+    Columns are found by the header of the first file. A second file with another
+    header stops the job instead of mixing up columns, unless ``check_headers`` is off
+    (which headers with repeated or empty names in several files need).
     """
-    raw = spark.read.csv(
-        path,
-        header=True,
-        multiLine=True,
-        quote='"',
-        escape='"',
-        mode="PERMISSIVE",
-        enforceSchema=False,
-    )
+
+    def scan(any_header: bool) -> DataFrame:
+        return spark.read.csv(
+            path,
+            header=True,
+            multiLine=True,
+            quote='"',
+            escape='"',
+            mode="PERMISSIVE",
+            enforceSchema=any_header,
+        )
+
+    raw = scan(any_header=True)
+    if check_headers and len(raw.inputFiles()) > 1:
+        raw = scan(any_header=False)
     return project_cast(raw, schema)
 
 
