@@ -8,7 +8,7 @@ _STATISTICS = {"avg": F.avg, "min": F.min, "max": F.max}
 
 def within(df: DataFrame, column: str, low: float, high: float) -> DataFrame:
     """Rows with ``low <= column <= high``; NULL and NaN go."""
-    return df.filter(F.col(column).isNotNull() & F.col(column).between(low, high))
+    return df.filter(F.col(column).between(low, high))
 
 
 def group_stats(

@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from hearthline.plans import marketplace as m
 from hearthline.sinks import stage, write_table
-from hearthline.sources import read_listings, read_reviews
+from hearthline.sources import read_listings, read_reviews, spread_rows
 
 
 def build_gold(
@@ -30,7 +30,7 @@ def build_gold(
     ``cleaning`` goes to ``listings_clean``; the session stays the caller's.
     """
     clean = m.listings_clean(read_listings(spark, listings_path), **cleaning)
-    reviews = read_reviews(spark, reviews_path)
+    reviews = spread_rows(read_reviews(spark, reviews_path))
     fact_path = f"{gold_path}/listings_clean"
 
     fact_rows, (profile, _) = _together(

@@ -66,6 +66,21 @@ def read_wide_csv(
     return project_cast(raw, schema)
 
 
+def spread_rows(source: DataFrame) -> DataFrame:
+    """A source of fewer files than the cluster has cores, spread over all cores.
+
+    Costly expressions over the rows of a few unsplittable files then run everywhere
+    instead of in the tasks that parse the files. The shuffle goes by row number, not
+    by content, so neither hot keys nor copies gather; a repeated scan numbers its
+    rows alike. Sources with enough files are left as they are.
+    """
+    cores = source.sparkSession.sparkContext.defaultParallelism
+    if len(source.inputFiles()) >= cores:
+        return source
+    numbered = source.withColumn("_row", F.monotonically_increasing_id())
+    return numbered.repartition(cores, "_row").drop("_row")
+
+
 def read_listings(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return read_wide_csv(spark, path, schemas.LISTINGS)
 

@@ -4,6 +4,7 @@ from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DateType,
     DoubleType,
@@ -14,7 +15,7 @@ from pyspark.sql.types import (
 )
 
 from hearthline import schemas
-from hearthline.sources import read_listings, read_reviews, read_wide_csv
+from hearthline.sources import read_listings, read_reviews, read_wide_csv, spread_rows
 
 WANTED = (
     StructType()
@@ -25,6 +26,8 @@ WANTED = (
     .add("first", DateType())
 )
 
+ID_NAME = StructType().add("id", LongType()).add("name", StringType())
+
 
 def write(folder, text, name="table.csv.gz"):
     path = Path(folder) / name
@@ -127,3 +130,18 @@ def test_only_wanted_columns_are_parsed(spark, folder):
     df = read_wide_csv(spark, path, StructType().add("id", LongType()))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<id:string>" in plan
+
+
+def test_few_files_are_spread_and_many_are_not(spark, folder):
+    def shuffles(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+    rows = "".join(f"{n},same\n" for n in range(500))
+    one = read_wide_csv(spark, write(folder, "id,name\n" + rows, "one.csv.gz"), ID_NAME)
+    assert shuffles(spread_rows(one)) == 1
+    assert sorted(spread_rows(one).collect()) == sorted(one.collect())
+    sizes = spread_rows(one).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == spark.sparkContext.defaultParallelism
+    for n in range(spark.sparkContext.defaultParallelism):
+        write(folder, f"id,name\n{n},x\n", f"part{n}.csv.gz")
+    assert shuffles(spread_rows(read_wide_csv(spark, folder, ID_NAME))) == 0
