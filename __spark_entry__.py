@@ -30,7 +30,7 @@ from hearthline.operators import (
 )
 from hearthline.plans import build_gold, listings_clean
 from hearthline.sinks import shared_folder, stage, write_table
-from hearthline.sources import read_wide_csv
+from hearthline.sources import read_wide_csv, spread_rows
 
 # The documents are invented prose without the words of the built-in lists.
 PLUS = ("the", "and", "that")
@@ -101,7 +101,7 @@ def supplier_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def review_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match_profile(
-        supplier_reviews(spark, sf_dir),
+        spread_rows(supplier_reviews(spark, sf_dir)),
         "listing_id",
         id="id",
         text="comments",
@@ -210,8 +210,9 @@ def band_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def group_stats_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem")
     stats = group_stats(
-        table(spark, sf_dir, "lineitem"),
+        lines,
         "l_suppkey",
         "line_count",
         avg_price=("avg", "l_extendedprice"),
@@ -219,7 +220,7 @@ def group_stats_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
         max_price=("max", "l_extendedprice"),
         avg_discount=("avg", "l_discount"),
     )
-    return with_rank(stats, "avg_price", "price_rank")
+    return with_rank(stats, "avg_price", "price_rank", at_most=lines.count())
 
 
 def rank_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,7 +264,8 @@ def without_match_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     score = lexicon_score(F.col("text"), PLUS, MINUS).cast("bigint")
-    return table(spark, sf_dir, "documents").select("doc_id", score.alias("score"))
+    documents = spread_rows(table(spark, sf_dir, "documents"))
+    return documents.select("doc_id", score.alias("score"))
 
 
 def document_score_builtin(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -287,7 +289,10 @@ def text_length_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_length_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return length_by_entity(suppliers(spark, sf_dir), review_profile(spark, sf_dir), 5)
+    lengths = match_profile(
+        supplier_reviews(spark, sf_dir), "listing_id", id="id", text="comments"
+    )
+    return length_by_entity(suppliers(spark, sf_dir), lengths, 5)
 
 
 def text_length_top(spark: SparkSession, sf_dir: str) -> DataFrame:

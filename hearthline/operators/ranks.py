@@ -13,21 +13,24 @@ def with_rank(
     by: str,
     name: str,
     *,
-    window_rows: int = 100_000,
+    at_most: int | None = None,
+    window_rows: int = 1_000_000,
     bucket_rows: int = 1_000_000,
 ) -> DataFrame:
     """``df`` with the SQL ``rank()`` of the number ``by``, highest first, NULL last.
 
-    ``df`` is staged first, which also counts it: up to ``window_rows`` rows are
-    ranked by one window, more of them by value buckets of about ``bucket_rows``
-    distinct values. Both give the same ranks.
+    Up to ``window_rows`` rows are ranked by one window, more of them by value buckets
+    of about ``bucket_rows`` distinct values; both give the same ranks. ``at_most`` is
+    a proven limit of the number of rows, such as the known rows under an aggregate.
+    Without a limit that suffices, ``df`` is staged, which counts it.
     """
-    staged, rows = stage(df, "ranked")
-    if rows <= window_rows:
+    if at_most is None or at_most > window_rows:
+        df, at_most = stage(df, "ranked")
+    if at_most <= window_rows:
         highest_first = Window.orderBy(F.col(by).desc())
-        return staged.withColumn(name, F.rank().over(highest_first).cast("bigint"))
-    buckets = min(MOST_BUCKETS, -(-rows // bucket_rows))
-    return _rank_in_buckets(staged, by, name, buckets)
+        return df.withColumn(name, F.rank().over(highest_first).cast("bigint"))
+    buckets = min(MOST_BUCKETS, -(-at_most // bucket_rows))
+    return _rank_in_buckets(df, by, name, buckets)
 
 
 def _rank_in_buckets(df: DataFrame, by: str, name: str, buckets: int) -> DataFrame:
@@ -39,18 +42,8 @@ def _rank_in_buckets(df: DataFrame, by: str, name: str, buckets: int) -> DataFra
     """
     value = F.col(by)
     values = df.groupBy(value.alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
-
-    # The cuts only steer the balance; any cuts give the right ranks.
-    cuts = (
-        values.filter(F.col("_value").isNotNull() & ~F.isnan(F.col("_value").cast("double")))
-        .agg(
-            F.percentile_approx(
-                "_value", [i / buckets for i in range(1, buckets)] or [0.5], 20 * buckets
-            )
-        )
-        .first()[0]
-    )
-    bucketed = values.withColumn("_bucket", _bucket(F.col("_value"), cuts or []))
+    cuts = _cuts(df, value, buckets)
+    bucketed = values.withColumn("_bucket", _bucket(F.col("_value"), cuts))
 
     # At most MOST_BUCKETS + 2 rows: one task and a broadcast are enough.
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -71,6 +64,23 @@ def _rank_in_buckets(df: DataFrame, by: str, name: str, buckets: int) -> DataFra
     return df.join(ranks, value.eqNullSafe(F.col("_value"))).drop("_value")
 
 
+def _cuts(df: DataFrame, value: Column, buckets: int) -> list:
+    """Values that part the rows into about equal buckets, at most ``MOST_BUCKETS`` - 1.
+
+    They only steer the balance: any cuts give the right ranks. A bucket between two
+    row quantiles has no more distinct values than rows.
+    """
+    if buckets < 2:
+        return []
+    fractions = [i / buckets for i in range(1, buckets)]
+    quantiles = (
+        df.filter(value.isNotNull() & ~F.isnan(value.cast("double")))
+        .agg(F.percentile_approx(value, fractions, 4 * buckets))
+        .first()[0]
+    )
+    return sorted(set(quantiles or []))
+
+
 def _bucket(value: Column, cuts: list) -> Column:
     """How many cuts lie above ``value``; NULL comes after all others."""
     above = F.size(F.filter(F.lit(cuts), lambda cut: cut > value)) if cuts else F.lit(0)

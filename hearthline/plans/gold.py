@@ -43,7 +43,9 @@ def build_gold(
     fact = spark.read.schema(clean.schema).parquet(fact_path)
 
     tables = {
-        "price_by_neighbourhood": lambda: m.price_by_neighbourhood(fact, ordered=False),
+        "price_by_neighbourhood": lambda: m.price_by_neighbourhood(
+            fact, ordered=False, at_most=fact_rows
+        ),
         "top_reviewed_listings": lambda: m.top_reviewed_listings(fact, profile, top_n=top_n),
         "listings_without_reviews": lambda: m.listings_without_reviews(fact, profile),
         "price_category_summary": lambda: m.price_category_summary(fact, ordered=False),

@@ -37,8 +37,13 @@ def listings_clean(
     )
 
 
-def price_by_neighbourhood(listings: DataFrame, *, ordered: bool = True) -> DataFrame:
-    """Price statistics per neighbourhood, ranked by the average in cents."""
+def price_by_neighbourhood(
+    listings: DataFrame, *, ordered: bool = True, at_most: int | None = None
+) -> DataFrame:
+    """Price statistics per neighbourhood, ranked by the average in cents.
+
+    ``at_most`` is the number of listings, where it is known (see ``with_rank``).
+    """
     stats = group_stats(
         listings,
         "neighbourhood_cleansed",
@@ -48,7 +53,7 @@ def price_by_neighbourhood(listings: DataFrame, *, ordered: bool = True) -> Data
         max_price=("max", "price_num"),
         avg_rating=("avg", "review_scores_rating"),
     )
-    ranked = with_rank(stats, "avg_price", "price_rank").withColumn(
+    ranked = with_rank(stats, "avg_price", "price_rank", at_most=at_most).withColumn(
         "price_rank", F.col("price_rank").cast("int")
     )
     return ranked.orderBy("price_rank", "neighbourhood_cleansed") if ordered else ranked

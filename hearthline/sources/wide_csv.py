@@ -67,15 +67,16 @@ def read_wide_csv(
 
 
 def spread_rows(source: DataFrame) -> DataFrame:
-    """A source of fewer files than the cluster has cores, spread over all cores.
+    """A scan that keeps at most half of the cores busy, spread over all of them.
 
     Costly expressions over the rows of a few unsplittable files then run everywhere
-    instead of in the tasks that parse the files. The shuffle goes by row number, not
+    instead of in the tasks that read the files. The shuffle goes by row number, not
     by content, so neither hot keys nor copies gather; a repeated scan numbers its
-    rows alike. Sources with enough files are left as they are.
+    rows alike. Scans with more tasks, as of any large input, are left as they are.
     """
     cores = source.sparkSession.sparkContext.defaultParallelism
-    if len(source.inputFiles()) >= cores:
+    tasks = source.rdd.getNumPartitions()  # plans the scan, reads nothing
+    if 2 * tasks > cores:
         return source
     numbered = source.withColumn("_row", F.monotonically_increasing_id())
     return numbered.repartition(cores, "_row").drop("_row")

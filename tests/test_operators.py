@@ -182,6 +182,8 @@ def test_bucketed_rank_equals_window_rank(spark, values, kind):
 
     expected = ranks()
     assert len(expected) == len(values)
+    assert ranks(at_most=len(values)) == expected
+    assert ranks(at_most=len(values) + 1, window_rows=len(values)) == expected
     for bucket_rows in (1, 7, 1000):
         assert ranks(window_rows=0, bucket_rows=bucket_rows) == expected
     assert with_rank(df, "v", "r").dtypes == with_rank(df, "v", "r", window_rows=0).dtypes

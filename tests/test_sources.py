@@ -144,4 +144,8 @@ def test_few_files_are_spread_and_many_are_not(spark, folder):
     assert len(sizes) == spark.sparkContext.defaultParallelism
     for n in range(spark.sparkContext.defaultParallelism):
         write(folder, f"id,name\n{n},x\n", f"part{n}.csv.gz")
-    assert shuffles(spread_rows(read_wide_csv(spark, folder, ID_NAME))) == 0
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1")
+    try:
+        assert shuffles(spread_rows(read_wide_csv(spark, folder, ID_NAME))) == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
