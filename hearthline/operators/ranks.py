@@ -45,7 +45,7 @@ def _rank_in_buckets(df: DataFrame, by: str, name: str, buckets: int) -> DataFra
     cuts = _cuts(df, value, buckets)
     bucketed = values.withColumn("_bucket", _bucket(F.col("_value"), cuts))
 
-    # At most MOST_BUCKETS + 2 rows: one task and a broadcast are enough.
+    # At most MOST_BUCKETS + 1 rows: one task and a broadcast are enough.
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         bucketed.groupBy("_bucket")

@@ -21,19 +21,20 @@ from hearthline.plans import (
     top_comment_length_sql,
     top_reviewed_listings,
 )
+from hearthline.sources import read_reviews, spread_rows
 
-HOME, FLAT = "Private room in home", "Entire rental unit"
+# The known small case.
 LISTINGS = [
-    (1, "Budget room in Camden", 1001, "Sam", "Camden", "Private room", HOME, "$40.00", 2, 12,
-     1.5, 4.6, 4.7, date(2019, 3, 1)),
-    (2, "Mid flat in Hackney", 1002, "Alex", "Hackney", "Entire home/apt", FLAT, "$120.00", 3, 8,
-     1.1, 4.4, 4.5, date(2020, 6, 1)),
+    (1, "Budget room in Camden", 1001, "Sam", "Camden", "Private room",
+     "Private room in home", "$40.00", 2, 12, 1.5, 4.6, 4.7, date(2019, 3, 1)),
+    (2, "Mid flat in Hackney", 1002, "Alex", "Hackney", "Entire home/apt",
+     "Entire rental unit", "$120.00", 3, 8, 1.1, 4.4, 4.5, date(2020, 6, 1)),
     (3, "Luxury loft in Westminster", 1003, "Priya", "Westminster", "Entire home/apt",
      "Entire condo", "$1,250.00", 5, 3, 0.4, 4.9, 5.0, date(2018, 1, 1)),
-    (4, "Central room in Islington", 1004, "Marco", "Islington", "Private room", HOME, "$75.00",
-     1, 0, None, None, None, None),
-    (5, "Broken price listing", 1005, "Ola", "Brent", "Shared room", "Shared room", "N/A", 1, 1,
-     0.2, 4.0, 4.0, date(2021, 1, 1)),
+    (4, "Central room in Islington", 1004, "Marco", "Islington", "Private room",
+     "Private room in home", "$75.00", 1, 0, None, None, None, None),
+    (5, "Broken price listing", 1005, "Ola", "Brent", "Shared room",
+     "Shared room", "N/A", 1, 1, 0.2, 4.0, 4.0, date(2021, 1, 1)),
 ]
 REVIEWS = [
     (1, 100, date(2021, 1, 1), 5001, "Jamie", "The place was great and clean."),
@@ -231,6 +232,12 @@ def test_job_options(spark, folder, exports):
     assert spark.read.parquet(f"{folder}/gold/top_comment_length").count() == 0
 
 
+def test_profile_reads_three_columns_of_the_reviews(spark, exports):
+    profile = review_profile(spread_rows(read_reviews(spark, exports[1])))
+    plan = profile._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<listing_id:string,id:string,comments:string>" in plan
+
+
 def test_written_fact_prunes_bands(spark, folder, exports):
     build_gold(spark, *exports, f"{folder}/gold")
     fact = spark.read.parquet(f"{folder}/gold/listings_clean")
