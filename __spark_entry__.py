@@ -183,7 +183,12 @@ def csv_scan_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "documents-csv")
     write_csv(table(spark, sf_dir, "documents"), path)
     columns = (
-        StructType().add("text", StringType()).add("doc_id", LongType()).add("lang", LongType())
+        StructType()
+        .add("n_chars", LongType())
+        .add("text", StringType())
+        .add("doc_id", LongType())
+        .add("source", StringType())
+        .add("lang", LongType())  # text that is no number
     )
     return read_wide_csv(spark, path, columns)
 
@@ -520,7 +525,9 @@ def oracle_sql() -> dict[str, str]:
     )
 
     return {
-        "csv_scan_project": "SELECT text, doc_id, CAST(NULL AS BIGINT) AS lang FROM documents",
+        "csv_scan_project": """
+            SELECT n_chars, text, doc_id, source, CAST(NULL AS BIGINT) AS lang FROM documents
+        """,
         "currency_parse": prices,
         "plausible_range": plausible,
         "value_band": bands,

@@ -37,12 +37,7 @@ NEGATIVE = (
 
 # Words end at a full stop, a comma or Unicode white space, and at
 # nothing else ("great!" and "clean<br/>" are other words than "great", "clean").
-# The characters beyond Latin-1 are looked up behind one range test: most characters
-# of a text then cost a table look-up and one comparison.
-SEPARATORS = (
-    r"[.,\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0"
-    r"[\u1680-\u3000&&[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]]+"
-)
+SEPARATORS = r"[.,\x1c\x1d\x1e\x1f\p{IsWhite_Space}]+"
 
 
 def words(text: Column) -> Column:

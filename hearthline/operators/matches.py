@@ -7,7 +7,9 @@ sums, so quotients do not depend on the order of addition, and Catalyst drops th
 that a query does not use. Stage the profile when several operators read it.
 
 Entities are reduced in the same way, to one row per key and shown column with the
-number of copies, so repeated entities multiply counts as in a plain join.
+number of copies, so repeated entities multiply counts as in a plain join. Should one
+key have very many different labels, stage the profile: adaptive execution splits the
+key only if the other side of the join is a table, not an aggregate.
 """
 
 from pyspark.sql import Column, DataFrame

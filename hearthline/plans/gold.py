@@ -18,6 +18,7 @@ def build_gold(
     gold_path: str,
     *,
     output_partitions: int | None = None,
+    rebalance: bool = False,
     top_n: int = 20,
     min_reviews: int = 5,
     **cleaning: float,
@@ -28,6 +29,9 @@ def build_gold(
     as the fact of all other tables; the reviews are reduced to their profile, which
     is staged. What does not depend on each other runs at the same time.
     ``cleaning`` goes to ``listings_clean``; the session stays the caller's.
+
+    Every task that reads listings writes up to one file per band; ``rebalance``
+    shuffles the cleaned listings into few, even files instead.
     """
     clean = m.listings_clean(read_listings(spark, listings_path), **cleaning)
     reviews = spread_rows(read_reviews(spark, reviews_path))
@@ -36,7 +40,11 @@ def build_gold(
     fact_rows, (profile, _) = _together(
         spark,
         lambda: write_table(
-            clean, fact_path, partition_by="price_category", partitions=output_partitions
+            clean,
+            fact_path,
+            partition_by="price_category",
+            partitions=output_partitions,
+            rebalance=rebalance,
         ),
         lambda: stage(m.review_profile(reviews), "review-profile"),
     )

@@ -209,13 +209,11 @@ def gold(spark, path, name):
     return back
 
 
-@pytest.mark.parametrize("output_partitions", [None, 4])
-def test_job_twice(spark, folder, exports, output_partitions):
+@pytest.mark.parametrize("layout", [{}, {"output_partitions": 4}, {"rebalance": True}])
+def test_job_twice(spark, folder, exports, layout):
     path = f"{folder}/gold"
     for _ in range(2):
-        counts = build_gold(
-            spark, *exports, path, min_reviews=1, output_partitions=output_partitions
-        )
+        counts = build_gold(spark, *exports, path, min_reviews=1, **layout)
         assert counts == {name: len(table) for name, table in TABLES.items()}
         assert list(counts) == list(TABLES)
         for name, table in TABLES.items():
@@ -233,6 +231,14 @@ def test_job_options(spark, folder, exports):
     assert spark.read.parquet(f"{folder}/gold/top_comment_length").count() == 0
 
 
+def test_a_failing_table_fails_the_job(spark, folder, exports):
+    with pytest.raises(Exception, match="(?i)path"):
+        build_gold(spark, exports[0], f"{folder}/missing.csv.gz", f"{folder}/gold")
+    with pytest.raises(Exception, match="(?i)n must be|limit|negative"):
+        build_gold(spark, *exports, f"{folder}/gold", top_n=-1)
+    assert build_gold(spark, *exports, f"{folder}/gold")["listings_clean"] == 4
+
+
 def test_profile_reads_three_columns_of_the_reviews(spark, exports):
     profile = review_profile(spread_rows(read_reviews(spark, exports[1])))
     plan = profile._jdf.queryExecution().executedPlan().toString()

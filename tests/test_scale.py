@@ -7,7 +7,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from hearthline.functions import lexicon_score
-from hearthline.operators import match_profile, top_by_matches, with_rank, without_match
+from hearthline.operators import (
+    match_profile,
+    score_by_group,
+    top_by_matches,
+    with_rank,
+    without_match,
+)
+from hearthline.sinks import stage
 
 
 @contextmanager
@@ -30,6 +37,7 @@ def shuffled_joins(spark):
         spark,
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__advisoryPartitionSizeInBytes="20000",
+        spark__sql__adaptive__coalescePartitions__minPartitionSize="20000",
         spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="30000",
         spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
     ):
@@ -59,6 +67,19 @@ def test_a_hot_entity_key_is_split_in_the_anti_join(spark, shuffled_joins):
     assert result.count() == expected
 
 
+def test_a_hot_key_with_many_labels_is_split_against_a_staged_profile(spark, shuffled_joins):
+    entities = hot(spark, 20_000)
+    children = spark.range(0, 60_000).select((F.col("id") % 20_000).alias("ref"), "id")
+    profile, _ = stage(match_profile(children, "ref", id="id"), "profile")
+    top = top_by_matches(entities, profile, 5, key="key")
+    assert "skew=true" in final_plan(top)
+    assert [r.num_reviews for r in top.collect()] == [3] * 5
+    areas = entities.withColumn("area", F.substring("name", 1, 1))
+    ones = match_profile(children, "ref", score=F.lit(1))
+    groups = score_by_group(areas, ones, key="key", group="area")
+    assert groups.agg(F.sum("review_count")).first()[0] == 60_000
+
+
 def test_a_hot_value_is_split_when_ranks_are_looked_up(spark, shuffled_joins):
     rows = hot(spark, 20_000).withColumn("v", F.col("key").cast("double")).drop("key")
     ranked = with_rank(rows, "v", "r", window_rows=0, bucket_rows=500)
