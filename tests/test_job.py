@@ -231,6 +231,18 @@ def test_job_options(spark, folder, exports):
     assert spark.read.parquet(f"{folder}/gold/top_comment_length").count() == 0
 
 
+def test_exports_without_rows(spark, folder, exports):
+    nothing = write_csv(Path(folder) / "no_reviews.csv.gz", schemas.REVIEWS.names, [])
+    counts = build_gold(spark, exports[0], nothing, f"{folder}/gold")
+    assert counts["listings_without_reviews"] == counts["listings_clean"] == 4
+    assert counts["top_reviewed_listings"] == counts["sentiment_by_neighbourhood"] == 0
+
+    nothing = write_csv(Path(folder) / "no_listings.csv.gz", schemas.LISTINGS.names, [])
+    counts = build_gold(spark, nothing, exports[1], f"{folder}/none")
+    assert set(counts.values()) == {0}
+    assert gold(spark, f"{folder}/none", "price_by_neighbourhood").count() == 0
+
+
 def test_a_failing_table_fails_the_job(spark, folder, exports):
     with pytest.raises(Exception, match="(?i)path"):
         build_gold(spark, exports[0], f"{folder}/missing.csv.gz", f"{folder}/gold")

@@ -135,7 +135,8 @@ def test_matches_of_empty_tables(spark, pair):
 
 def test_sql_over_leaves_no_views(spark, pair):
     entities, children = pair
-    sql_over(spark, "SELECT 1 AS one FROM {a}, {b} LIMIT :n", {"a": entities, "b": children}, {"n": 1})
+    text = "SELECT count(*) FROM {a} JOIN {b} ON {a}.id = {b}.listing_id WHERE price > :p"
+    assert sql_over(spark, text, {"a": entities, "b": children}, {"p": 2.0}).first()[0] == 0
     assert spark.catalog.listTables() == []
 
 

@@ -1,4 +1,7 @@
+import csv
 import gzip
+import io
+import random
 from datetime import date
 from pathlib import Path
 
@@ -125,6 +128,18 @@ def test_listings_and_reviews(spark, folder):
     assert tuple(read_reviews(spark, reviews).first())[:3] == (1, 100, date(2021, 1, 1))
 
 
+def test_random_texts_survive(spark, folder):
+    rng = random.Random(3)
+    parts = ['"', '""', ",", "\n", "\r\n", "\\", "'", " ", "\t", ";", "\u2028", "é", "😀", "a", "B"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 12))) for _ in range(2000)]
+    out = io.StringIO(newline="")
+    writer = csv.writer(out, lineterminator="\n")
+    writer.writerow(["id", "name"])
+    writer.writerows(enumerate(texts))
+    rows = read_wide_csv(spark, write(folder, out.getvalue()), ID_NAME).collect()
+    assert sorted((r.id, r.name) for r in rows) == list(enumerate(texts))
+
+
 def test_only_wanted_columns_are_parsed(spark, folder):
     path = write(folder, "id,skip,name\n1,x,a\n")
     df = read_wide_csv(spark, path, StructType().add("id", LongType()))
