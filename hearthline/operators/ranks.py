@@ -22,7 +22,8 @@ def with_rank(
     Up to ``window_rows`` rows are ranked by one window, more of them by value buckets
     of about ``bucket_rows`` distinct values; both give the same ranks. ``at_most`` is
     a proven limit of the number of rows, such as the known rows under an aggregate.
-    Without a limit that suffices, ``df`` is staged, which counts it.
+    Without a limit that suffices, ``df`` is staged, which counts it: a job that runs
+    when this function is called.
     """
     if at_most is None or at_most > window_rows:
         df, at_most = stage(df, "ranked")

@@ -57,8 +57,7 @@ def test_empty_table_is_written_and_counted(spark, folder, banded):
     assert spark.read.parquet(path).count() == 0
 
 
-def test_count_stands_above_the_shuffle(banded, folder):
-    """Rows are counted in the writing stage, also after an aggregate and a sort."""
+def test_rows_of_a_sorted_aggregate_are_counted(banded, folder):
     counted = banded.groupBy("band").count().orderBy("band")
     assert write_table(counted, f"{folder}/t", partitions=2) == 3
 

@@ -130,7 +130,7 @@ def test_listings_and_reviews(spark, folder):
 
 def test_random_texts_survive(spark, folder):
     rng = random.Random(3)
-    parts = ['"', '""', ",", "\n", "\r\n", "\\", "'", " ", "\t", ";", "\u2028", "é", "😀", "a", "B"]
+    parts = ['"', '""', ",", "\n", "\r\n", "\\", "'", " ", "\t", ";", "\u2028", "é", "😀", "a"]
     texts = ["".join(rng.choices(parts, k=rng.randint(1, 12))) for _ in range(2000)]
     out = io.StringIO(newline="")
     writer = csv.writer(out, lineterminator="\n")
