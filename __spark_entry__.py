@@ -110,7 +110,7 @@ def review_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staged_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(review_profile(spark, sf_dir), "review-profile")[0]
+    return stage(review_profile(spark, sf_dir), "review-profile").table
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -26,7 +26,7 @@ def with_rank(
     when this function is called.
     """
     if at_most is None or at_most > window_rows:
-        df, at_most = stage(df, "ranked")
+        df, at_most, _ = stage(df, "ranked")
     if at_most <= window_rows:
         highest_first = Window.orderBy(F.col(by).desc())
         return df.withColumn(name, F.rank().over(highest_first).cast("bigint"))

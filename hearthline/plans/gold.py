@@ -7,7 +7,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 from hearthline.plans import marketplace as m
-from hearthline.sinks import stage, write_table
+from hearthline.sinks import stage, unstage, write_table
 from hearthline.sources import read_listings, read_reviews, spread_rows
 
 
@@ -37,7 +37,7 @@ def build_gold(
     reviews = spread_rows(read_reviews(spark, reviews_path))
     fact_path = f"{gold_path}/listings_clean"
 
-    fact_rows, (profile, _) = _together(
+    fact_rows, profile = _together(
         spark,
         lambda: write_table(
             clean,
@@ -49,30 +49,34 @@ def build_gold(
         lambda: stage(m.review_profile(reviews), "review-profile"),
     )
     fact = spark.read.schema(clean.schema).parquet(fact_path)
+    per_listing = profile.table
 
     tables = {
         "price_by_neighbourhood": lambda: m.price_by_neighbourhood(
             fact, ordered=False, at_most=fact_rows
         ),
-        "top_reviewed_listings": lambda: m.top_reviewed_listings(fact, profile, top_n=top_n),
-        "listings_without_reviews": lambda: m.listings_without_reviews(fact, profile),
+        "top_reviewed_listings": lambda: m.top_reviewed_listings(fact, per_listing, top_n=top_n),
+        "listings_without_reviews": lambda: m.listings_without_reviews(fact, per_listing),
         "price_category_summary": lambda: m.price_category_summary(fact, ordered=False),
         "sentiment_by_neighbourhood": lambda: m.sentiment_by_neighbourhood(
-            fact, profile, ordered=False
+            fact, per_listing, ordered=False
         ),
         "top_comment_length": lambda: m.top_comment_length(
-            fact, profile, min_reviews=min_reviews, top_n=top_n
+            fact, per_listing, min_reviews=min_reviews, top_n=top_n
         ),
     }
-    rows = _together(
-        spark,
-        *(
-            lambda name=name, table=table: write_table(
-                table(), f"{gold_path}/{name}", partitions=output_partitions
-            )
-            for name, table in tables.items()
-        ),
-    )
+    try:
+        rows = _together(
+            spark,
+            *(
+                lambda name=name, table=table: write_table(
+                    table(), f"{gold_path}/{name}", partitions=output_partitions
+                )
+                for name, table in tables.items()
+            ),
+        )
+    finally:
+        unstage(profile)
     return {"listings_clean": fact_rows, **dict(zip(tables, rows))}
 
 

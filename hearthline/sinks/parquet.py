@@ -1,6 +1,7 @@
 """Parquet tables and staged intermediate results."""
 
 import tempfile
+from typing import NamedTuple
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -55,14 +56,27 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def stage(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+class Staged(NamedTuple):
+    table: DataFrame
+    rows: int
+    path: str
+
+
+def stage(df: DataFrame, name: str) -> Staged:
     """``df`` written to the shared folder and read back, with its number of rows.
 
     Cuts the lineage, so that several readers neither recompute the input nor depend
     on the executors that made it, and gives Catalyst the real size for its joins.
-    Like a checkpoint, the files stay until the folder is cleaned.
+    Like a checkpoint, the files stay until ``unstage`` or until the folder is cleaned.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid4().hex}"
     rows = write_table(df, path)
-    return spark.read.schema(df.schema).parquet(path), rows
+    return Staged(spark.read.schema(df.schema).parquet(path), rows, path)
+
+
+def unstage(staged: Staged) -> None:
+    """Delete the files of a staged table that nobody reads any more."""
+    spark = staged.table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(staged.path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -22,6 +22,7 @@ from hearthline.plans import (
     top_comment_length_sql,
     top_reviewed_listings,
 )
+from hearthline.sinks import shared_folder
 from hearthline.sources import read_reviews, spread_rows
 
 # The known small case.
@@ -212,6 +213,8 @@ def gold(spark, path, name):
 @pytest.mark.parametrize("layout", [{}, {"output_partitions": 4}, {"rebalance": True}])
 def test_job_twice(spark, folder, exports, layout):
     path = f"{folder}/gold"
+    shared = Path(shared_folder(spark).removeprefix("file:"))
+    staged = set(shared.glob("review-profile-*"))
     for _ in range(2):
         counts = build_gold(spark, *exports, path, min_reviews=1, **layout)
         assert counts == {name: len(table) for name, table in TABLES.items()}
@@ -219,6 +222,7 @@ def test_job_twice(spark, folder, exports, layout):
         for name, table in TABLES.items():
             back = rows(gold(spark, path, name))
             assert len(back) == len(table) and set(back) == table
+    assert set(shared.glob("review-profile-*")) == staged
     assert not spark.sparkContext._jsc.sc().isStopped()
     assert spark.catalog.listTables() == []
 

@@ -75,7 +75,7 @@ def test_profile_form_equals_plain_joins(spark, pair, staged):
     entities, children = pair
     profile = full_profile(children)
     if staged:
-        profile, rows = stage(profile, "profile")
+        profile, rows, _ = stage(profile, "profile")
         assert rows == profile.count()
 
     top = """SELECT l.id, l.name, count(r.id) AS num_reviews FROM {l} l JOIN {r} r

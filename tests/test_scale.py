@@ -70,7 +70,7 @@ def test_a_hot_entity_key_is_split_in_the_anti_join(spark, shuffled_joins):
 def test_a_hot_key_with_many_labels_is_split_against_a_staged_profile(spark, shuffled_joins):
     entities = hot(spark, 20_000)
     children = spark.range(0, 60_000).select((F.col("id") % 20_000).alias("ref"), "id")
-    profile, _ = stage(match_profile(children, "ref", id="id"), "profile")
+    profile = stage(match_profile(children, "ref", id="id"), "profile").table
     top = top_by_matches(entities, profile, 5, key="key")
     assert "skew=true" in final_plan(top)
     assert [r.num_reviews for r in top.collect()] == [3] * 5

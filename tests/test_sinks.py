@@ -3,7 +3,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from hearthline.sinks import shared_folder, stage, write_table
+from hearthline.sinks import shared_folder, stage, unstage, write_table
 
 
 @pytest.fixture
@@ -64,11 +64,14 @@ def test_rows_of_a_sorted_aggregate_are_counted(banded, folder):
 
 def test_stage_uses_the_shared_folder(spark, banded):
     before = set(Path(shared_folder(spark).removeprefix("file:")).glob("bands-*"))
-    staged, rows = stage(banded, "bands")
-    assert rows == 1000 and sorted(staged.collect()) == sorted(banded.collect())
+    staged = stage(banded, "bands")
+    assert staged.rows == 1000 and sorted(staged.table.collect()) == sorted(banded.collect())
     after = set(Path(shared_folder(spark).removeprefix("file:")).glob("bands-*"))
     assert len(after - before) == 1
-    assert staged.dtypes == banded.dtypes
+    assert staged.table.dtypes == banded.dtypes
+    unstage(staged)
+    assert not Path(staged.path.removeprefix("file:")).exists()
+    assert before <= set(Path(shared_folder(spark).removeprefix("file:")).glob("bands-*"))
 
 
 class Session:
