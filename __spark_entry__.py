@@ -8,14 +8,18 @@ There are no listings or reviews among the given tables, so two pairs stand in:
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
-from hearthline.functions import band, currency, lexicon_score
+sys.path.insert(0, str(Path(__file__).resolve().parent))  # loaded from anywhere
+
+from hearthline.functions import NEGATIVE, POSITIVE, band, currency, lexicon_score
 from hearthline.operators import (
     TEXT_LENGTH,
     group_stats,
@@ -28,7 +32,7 @@ from hearthline.operators import (
     within,
     without_match,
 )
-from hearthline.plans import build_gold, listings_clean
+from hearthline.plans import build_gold
 from hearthline.sinks import shared_folder, stage, write_table
 from hearthline.sources import read_wide_csv, spread_rows
 
@@ -408,8 +412,6 @@ def score_sql(text: str, plus: tuple[str, ...], minus: tuple[str, ...]) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    from hearthline.functions import NEGATIVE, POSITIVE
-
     prices = """
         SELECT o_orderkey, price, price_num FROM (
             SELECT *, try_cast(regexp_replace(price, '[$,]', '', 'g') AS DOUBLE) AS price_num
