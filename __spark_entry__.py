@@ -36,6 +36,11 @@ from hearthline.plans import build_gold
 from hearthline.sinks import shared_folder, stage, write_table
 from hearthline.sources import read_wide_csv, spread_rows
 
+try:  # the operators for training data are a part that can be left out
+    from llm import registry
+except ImportError:
+    registry = None
+
 # The documents are invented prose without the words of the built-in lists.
 PLUS = ("the", "and", "that")
 MINUS = ("of", "to")
@@ -395,6 +400,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sink_roundtrip": sink_roundtrip,
         "job_counts": job_counts,
         **{f"job_{name}": job_table(name) for name in GOLD_TABLES},
+        **(registry.QUERIES if registry else {}),
     }
 
 
@@ -587,4 +593,5 @@ def oracle_sql() -> dict[str, str]:
             for name, sql in gold.items()
         ),
         **{f"job_{name}": sql for name, sql in gold.items()},
+        **(registry.ORACLES if registry else {}),
     }
