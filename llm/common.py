@@ -84,7 +84,8 @@ def range_buckets(df: DataFrame, keys: list[str], buckets: int | None = None) ->
     n = buckets or width(df.sparkSession)
     rows = df.count()
     share = min(1.0, SAMPLED * n / max(rows, 1))
-    sample = [tuple(r) for r in df.select(*keys).sample(share, seed=17).orderBy(*keys).collect()]
+    sampled = df.select(*keys).sample(share, seed=17).repartition(1).sortWithinPartitions(*keys)
+    sample = [tuple(r) for r in sampled.collect()]
     at = sorted({len(sample) * i // n for i in range(1, n)}) if sample else []
     cuts = list(dict.fromkeys(sample[i] for i in at))
     return df.withColumn("_bucket", bucket_of(cuts, keys, df)).repartitionById(n, F.col("_bucket"))
