@@ -1,14 +1,17 @@
 """The registered queries of this subpackage and their DuckDB oracles."""
 
-from llm import content_sort_dedup, hilbert_shards, source_mix
+from llm import content_sort_dedup, hilbert_shards, language_id, secret_scan, source_mix
 
 QUERIES = {
+    "op1_secret_scan": secret_scan.op1_secret_scan,
     "op3_hilbert_shards": hilbert_shards.op3_hilbert_shards,
     "op4_content_sort_dedup": content_sort_dedup.op4_content_sort_dedup,
     "op7_source_mix": source_mix.op7_source_mix,
+    "op10_language_id": language_id.op10_language_id,
 }
 
 # Where SQL can't express a query, tests/llm holds it against brute force.
 ORACLES = {
+    "op1_secret_scan": secret_scan.ORACLE,
     "op4_content_sort_dedup": content_sort_dedup.ORACLE,
 }
