@@ -18,8 +18,8 @@ LENGTH = 50  # bytes of a string that counts as repeated
 TOKEN = 16  # leading bytes of a sampled suffix: two words of 8
 SPAN = LENGTH - TOKEN + 1  # suffixes in a string, of which one is sampled
 PIECE = 1 << 20  # bytes hashed at a time
-FLUSH = 16 << 20  # bytes whose suffixes a task gathers before it deals them out
-BUCKET = 16 << 20  # bytes of text whose suffixes, or whose documents, meet in a task
+FLUSH = 12 << 20  # bytes whose suffixes a task gathers before it deals them out
+BUCKET = 8 << 20  # bytes of text whose suffixes, or whose documents, meet in a task
 SAMPLED = 2000  # suffixes of a task that the splitters are chosen from, at most
 NULL = np.iinfo(np.int64).min  # stands for a null id: smaller than all others
 
@@ -36,7 +36,8 @@ SUFFIX = np.dtype(
     [("lead", "<u8"), ("tail", "<u8"), ("low", "<u4"), ("high", "<u2"), ("of", "<u4"), ("start", "<u4"), ("count", "u1"), ("sample", "u1")]
 )
 DOC = np.dtype([("doc", "<i8"), ("crc", "<u4")])
-STRIP = np.dtype([("key", "<u8"), ("of", "<u4"), ("start", "<u4"), ("count", "u1")])
+# ``sample``: where the sampled suffix starts, from ``start``; ``strip``: which of STRIPS.
+STRIP = np.dtype([("of", "<u4"), ("start", "<u4"), ("count", "u1"), ("sample", "u1"), ("strip", "u1")])
 # Strings are told apart by how many bytes of them stand before the sampled suffix. Each
 # strip (from, below) of that number has bytes that all its strings hold, its key.
 STRIPS = ((0, 4), (4, 9), (9, 17), (17, SPAN))
@@ -235,9 +236,33 @@ def parted(rows: np.ndarray, bucket: np.ndarray) -> Iterator[tuple[int, np.ndarr
         yield int(bucket[order[a]]), rows[order[a:b]]
 
 
+def by_document(entries: np.ndarray) -> np.ndarray:
+    return entries[np.lexsort((entries["start"], entries["crc"], entries["doc"]))]
+
+
+def gathered(b: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The parts of ``b``, one after another."""
+    inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    return b[np.repeat(start, size) + inside]
+
+
+def strip_keys(b: np.ndarray, begin: np.ndarray, strips: np.ndarray) -> np.ndarray:
+    """Hashes of the bytes that all strings of a strip hold; a piece at a time."""
+    low, high = np.array(STRIPS).T[:, strips["strip"]]
+    at = begin + strips["sample"]
+    start, end = at - low, at + TOKEN + SPAN - high
+    out = np.empty(len(strips), np.uint64)
+    for i in range(0, len(strips), 8192):
+        part = slice(i, i + 8192)
+        size = end[part] - start[part]
+        first = np.cumsum(size) - size
+        out[part] = Hasher(gathered(b, start[part], size), _base).of(first, first + size)
+    return out
+
+
 def sent_home(entries: np.ndarray, buckets: int) -> list[tuple[int, bytes]]:
     return [
-        (bucket, packed(np.sort(part, order=["doc", "crc", "start"])))
+        (bucket, packed(by_document(part)))
         for bucket, part in parted(entries, home(entries["doc"], buckets))
     ]
 
@@ -443,7 +468,7 @@ def documents_in(blobs: pa.Table) -> Iterator[tuple[int, int, bytes]]:
 def entries_in(blobs: pa.Table) -> dict[tuple[int, int], np.ndarray]:
     """Entries by document and checksum."""
     parts = [unpacked(b.as_py(), ENTRY) for b in blobs["blob"]]
-    rows = np.sort(np.concatenate([np.zeros(0, ENTRY), *parts]), order=["doc", "crc", "start"])
+    rows = by_document(np.concatenate([np.zeros(0, ENTRY), *parts]))
     edges = np.flatnonzero(np.r_[True, (rows["doc"][1:] != rows["doc"][:-1]) | (rows["crc"][1:] != rows["crc"][:-1])]) if len(rows) else []
     return {
         (int(rows["doc"][a]), int(rows["crc"][a])): rows[a:b] for a, b in zip(edges, [*edges[1:], len(rows)])
@@ -475,40 +500,40 @@ def open_strips(texts: DataFrame, entries: DataFrame, ranges: int) -> DataFrame:
             return routed([(0, b"")])[:0]
         table = np.array(table, DOC)
         rows, of = np.concatenate(spans), np.repeat(np.arange(len(spans)), list(map(len, spans)))
-        kept, texts = [], []
-        decided = []
+        kept, payloads = [], []
         for at in range(0, len(rows), 8192):
             part, owner = rows[at : at + 8192], of[at : at + 8192]
             start, count, sample = (part[c].astype(np.int64) for c in ("start", "count", "sample"))
-            b = np.frombuffer(b"".join(sources[o][s : s + c + LENGTH - 1] for o, s, c in zip(owner, start, count)), np.uint8)
+            ends = (start + count + LENGTH - 1).tolist()
+            b = np.frombuffer(b"".join(sources[o][s:e] for o, s, e in zip(owner.tolist(), start.tolist(), ends)), np.uint8)
             begin = np.r_[0, np.cumsum(count + LENGTH - 1)[:-1]]
             hasher, a = Hasher(b, _base), begin + sample
-            for low, high in STRIPS:
+            for n, (low, high) in enumerate(STRIPS):
                 first = np.maximum(begin, a - high + 1)
                 last = np.minimum(begin + count - 1, a - low)
                 i = np.flatnonzero(first <= last)
                 strip = np.empty(len(i), STRIP)
-                strip["key"] = hasher.of(a[i] - low, a[i] + TOKEN + SPAN - high)
                 strip["of"], strip["start"] = owner[i], start[i] + first[i] - begin[i]
-                strip["count"] = last[i] - first[i] + 1
-                whole = hasher.of(first[i], last[i] + LENGTH)
-                kept.append((strip, whole))
-                texts += [b[f : l + LENGTH].tobytes() for f, l in zip(first[i], last[i])]
-        strip, whole = np.concatenate([k for k, _ in kept]), np.concatenate([w for _, w in kept])
+                strip["count"], strip["sample"], strip["strip"] = last[i] - first[i] + 1, a[i] - first[i], n
+                key = hasher.of(a[i] - low, a[i] + TOKEN + SPAN - high)
+                kept.append((strip, key, hasher.of(first[i], last[i] + LENGTH)))
+                payloads.append(gathered(b, first[i], last[i] + LENGTH - first[i]))
+        strip, key, whole = (np.concatenate(x) for x in zip(*kept))
+        payload, size = np.concatenate(payloads), strip["count"].astype(np.int64) + LENGTH - 1
+        kept, payloads, begin = [], [], np.cumsum(size) - size
         doc = table["doc"][strip["of"]]
-        order = multikey_order(strip["key"], whole, doc)
-        k, w, d = strip["key"][order], whole[order], doc[order]
+        order = multikey_order(key, whole, doc)
+        k, w, d = key[order], whole[order], doc[order]
         new = np.r_[True, (k[1:] != k[:-1]) | (w[1:] != w[:-1])]
         least = d[np.flatnonzero(new)][np.cumsum(new) - 1]
-        repeated = order[d > least]
-        decided = as_entries(strip[repeated], table)
-        out = [(-1 - b, blob) for b, blob in sent_home(decided, ranges)]
+        out = [(-1 - b, blob) for b, blob in sent_home(as_entries(strip[order[d > least]], table), ranges)]
         going = order[d == least]
-        for bucket, i in parted(going, (strip["key"][going] % np.uint64(ranges)).astype(np.int64)):
+        for bucket, i in parted(going, (key[going] % np.uint64(ranges)).astype(np.int64)):
+            i.sort()
             used, place = np.unique(strip["of"][i], return_inverse=True)
             part = strip[i]
             part["of"] = place
-            out.append((bucket, sealed(part, table[used], b"".join(texts[j] for j in i))))
+            out.append((bucket, sealed(part, table[used], gathered(payload, begin[i], size[i]).tobytes())))
         return pa.Table.from_batches([routed(out)])
 
     both = texts.groupBy("bucket").cogroup(entries.groupBy("bucket"))
@@ -546,7 +571,7 @@ def compared_strings(strips: DataFrame, ranges: int) -> DataFrame:
         rows, table, b = np.concatenate(held), np.concatenate(tables), np.frombuffer(b"".join(texts), np.uint8)
         begin = np.r_[0, np.cumsum(rows["count"].astype(np.int64) + LENGTH - 1)[:-1]]
         # Only keys of several strips can hold equal strings.
-        _, key, met = np.unique(rows["key"], return_inverse=True, return_counts=True)
+        _, key, met = np.unique(strip_keys(b, begin, rows), return_inverse=True, return_counts=True)
         some = np.flatnonzero(met[key] > 1)
         if not len(some):
             return
@@ -592,8 +617,8 @@ def removed_repeats(docs: DataFrame, kept: bool = False) -> DataFrame:
     decided = staged(sorted_suffixes(dealt_suffixes(rows, cuts), ranges), "sorted-suffixes")
     inside = decided.filter(F.col("blob").isNotNull()).select("bucket", "blob")
     entries = staged(inside.union(across_boundaries(decided, ranges)), "entries")
-    strips = open_strips(text_blobs(rows, ranges), entries, ranges)
-    found = staged(compared_strings(strips, ranges), "found")
+    texts = text_blobs(rows, ranges)  # one shuffle, met twice in one plan
+    found = compared_strings(open_strips(texts, entries, ranges), ranges)
 
     def remove(key: tuple, blobs: pa.Table, found: pa.Table) -> pa.Table:
         by_doc, out = entries_in(found), []
@@ -617,7 +642,7 @@ def removed_repeats(docs: DataFrame, kept: bool = False) -> DataFrame:
         return pa.table({n: pa.array(c, k) for n, c, k in zip(names, list(zip(*out)) or [[]] * 6, kinds)})
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    both = text_blobs(rows, ranges).groupBy("bucket").cogroup(entries.union(found).groupBy("bucket"))
+    both = texts.groupBy("bucket").cogroup(entries.union(found).groupBy("bucket"))
     return both.applyInArrow(remove, schema + ", kept_bytes binary" * kept)
 
 
