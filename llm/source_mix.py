@@ -40,9 +40,13 @@ def source_targets(sizes: DataFrame, most: int = MOST) -> DataFrame:
     return keyed.select("source", "source_size", target.alias("target"), "earlier")
 
 
-def mix(docs: DataFrame, most: int = MOST, seed: str = SEED) -> DataFrame:
+def mix(
+    docs: DataFrame, most: int = MOST, seed: str = SEED, also: tuple[str, ...] = ()
+) -> DataFrame:
     """``doc_id, source, size, source_size, target, taken`` for each row of ``docs``.
 
+    ``also`` names further columns to pass on.
+
     Rows are ordered by source and a random key hashed from ``seed`` and ``doc_id``;
     exact prefix sums of the sizes place every row in its source. The budget, the
     target to the nearest word, takes whole epochs of the source and then a last one up
@@ -51,12 +55,14 @@ def mix(docs: DataFrame, most: int = MOST, seed: str = SEED) -> DataFrame:
     repeated ids are ordered by size, and equal rows are interchangeable.
     """
     words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
-    sized = pick(docs, doc_id="doc_id", text="text", source="source").select(
+    passed = {f"_also{i}": name for i, name in enumerate(also)}
+    sized = pick(docs, doc_id="doc_id", text="text", source="source", **passed).select(
         F.col("doc_id").cast("long").alias("doc_id"),
         "source",
         words.alias("size"),
         F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string")).cast("binary")).alias("_key"),
         F.col("source").isNull().alias("_null"),
+        *passed,
     )
     sized = staged(sized, "sized")
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -76,6 +82,7 @@ def mix(docs: DataFrame, most: int = MOST, seed: str = SEED) -> DataFrame:
         "source_size",
         "target",
         (epochs * F.col("size") + last).alias("taken"),
+        *(F.col(own).alias(name) for own, name in passed.items()),
     )
 
 
