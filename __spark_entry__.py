@@ -9,6 +9,7 @@ There are no listings or reviews among the given tables, so two pairs stand in:
 from __future__ import annotations
 
 import sys
+import tempfile
 from collections.abc import Callable
 from pathlib import Path
 from uuid import uuid4
@@ -33,8 +34,8 @@ from hearthline.operators import (
     without_match,
 )
 from hearthline.plans import build_gold
-from hearthline.sinks import shared_folder, stage, write_table
-from hearthline.sources import read_wide_csv, spread_rows
+from hearthline.sinks import shared_folder, write_table
+from hearthline.sources import read_wide_csv
 
 try:  # the operators for training data are a part that can be left out
     from llm import registry
@@ -42,6 +43,8 @@ except ImportError:
     registry = None
 
 # The documents are invented prose without the words of the built-in lists.
+TIED = (3, 4, 20)
+JOB_FLOOR, JOB_TOP = 3, 5
 PLUS = ("the", "and", "that")
 MINUS = ("of", "to")
 
@@ -59,6 +62,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
+    """A folder for what a query writes and its result reads; a local session may have none."""
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if configured is None and context.master.startswith("local["):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
     return f"{shared_folder(spark)}/{name}-{uuid4().hex}"
 
 
@@ -89,28 +97,44 @@ def banded_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def supplier_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers with a key ``id``: every tenth stands there twice, some have none."""
+    once = table(spark, sf_dir, "supplier")
+    rows = once.unionByName(once.filter("s_suppkey % 10 = 0"))
+    return rows.withColumn("id", F.when(F.col("s_suppkey") % 50 != 7, F.col("s_suppkey")))
+
+
 def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("id"),
-        F.col("s_name").alias("name"),
-        F.col("s_nationkey").alias("nation"),
+    return supplier_rows(spark, sf_dir).select(
+        "id", F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation")
     )
 
 
+PRAISE = {0: " Great, clean. LOVELY", 1: " dirty and noisy", 2: "", 3: " nice terrible."}
+
+
 def supplier_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as reviews of the supplier numbered by their square, modulo all suppliers."""
+    """Documents as reviews of the supplier numbered by their square, modulo all suppliers.
+
+    Words of the built-in lists are added by key; some comments are NULL or empty, and
+    some ids and listings NULL.
+    """
     in_all = table(spark, sf_dir, "supplier").count()
-    rest = F.col("doc_id") % in_all
+    doc = F.col("doc_id")
+    rest = doc % in_all
+    praise = F.element_at(F.array(*map(F.lit, PRAISE.values())), (doc % 4 + 1).cast("int"))
+    comment = F.when(doc % 13 != 5, F.concat("text", praise)).otherwise("")
     return table(spark, sf_dir, "documents").select(
-        ((rest * rest) % in_all).alias("listing_id"),
-        F.col("doc_id").alias("id"),
-        F.col("text").alias("comments"),
+        F.when(doc % 19 != 6, (rest * rest) % in_all).alias("listing_id"),
+        F.when(doc % 17 != 4, doc).alias("id"),
+        F.when(doc % 11 != 3, comment).alias("comments"),
+        "doc_id",
     )
 
 
 def review_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match_profile(
-        spread_rows(supplier_reviews(spark, sf_dir)),
+        supplier_reviews(spark, sf_dir),
         "listing_id",
         id="id",
         text="comments",
@@ -118,10 +142,6 @@ def review_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def staged_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(review_profile(spark, sf_dir), "review-profile").table
-
-
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.csv(
         path,
@@ -135,15 +155,19 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers as a listings export: all columns are text, in another order, with more."""
+    """Suppliers as a listings export: all columns are text, in another order, with more.
+
+    Two nations have one price, so their averages tie.
+    """
     key = F.col("s_suppkey")
-    price = F.concat(F.lit("$"), F.format_number(F.floor("s_acctbal").cast("double"), 2))
-    return table(spark, sf_dir, "supplier").select(
+    amount = F.when(F.col("s_nationkey").isin(*TIED), F.lit(2_500)).otherwise(F.floor("s_acctbal"))
+    price = F.concat(F.lit("$"), F.format_number(amount.cast("double"), 2))
+    return supplier_rows(spark, sf_dir).select(
         F.lit("https://example.org").alias("listing_url"),
         F.when(key % 37 == 0, "N/A").otherwise(price).alias("price"),
         F.col("s_nationkey").cast("string").alias("neighbourhood_cleansed"),
         F.concat(F.lit('A "quiet", tidy\nhome of '), "s_name").alias("name"),
-        key.alias("id"),
+        "id",
         F.col("s_nationkey").alias("host_id"),
         F.lit("host").alias("host_name"),
         F.lit("Private room").alias("room_type"),
@@ -163,7 +187,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         "listing_id",
         "id",
         F.lit("2021-01-01").alias("date"),
-        F.col("id").alias("reviewer_id"),
+        F.col("doc_id").alias("reviewer_id"),
         F.lit("guest").alias("reviewer_name"),
         "comments",
     )
@@ -179,7 +203,9 @@ def job(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, int]]:
         f"{folder}/listings",
         f"{folder}/reviews",
         f"{folder}/gold",
-        min_reviews=1,
+        spread=2,
+        min_reviews=JOB_FLOOR,
+        top_n=JOB_TOP,
         **CLEANING,
     )
     return f"{folder}/gold", rows
@@ -223,18 +249,24 @@ def band_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).orderBy(F.col("order_count").desc(), "band")
 
 
-def group_stats_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
-    stats = group_stats(
-        lines,
-        "l_suppkey",
+def line_stats(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
+    return group_stats(
+        table(spark, sf_dir, "lineitem"),
+        key,
         "line_count",
         avg_price=("avg", "l_extendedprice"),
         min_price=("min", "l_extendedprice"),
         max_price=("max", "l_extendedprice"),
         avg_discount=("avg", "l_discount"),
     )
-    return with_rank(stats, "avg_price", "price_rank", at_most=lines.count())
+
+
+def group_stats_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_rank(line_stats(spark, sf_dir, "l_suppkey"), "avg_price", "price_rank")
+
+
+def group_stats_small(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_stats(spark, sf_dir, "l_orderkey")
 
 
 def rank_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,7 +275,7 @@ def rank_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("l_orderkey")
         .agg(F.sum("l_quantity").cast("bigint").alias("quantity"))
     )
-    return with_rank(quantities, "quantity", "quantity_rank", window_rows=0, bucket_rows=1_000)
+    return with_rank(quantities, "quantity", "quantity_rank")
 
 
 def volume_top(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,13 +310,12 @@ def without_match_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     score = lexicon_score(F.col("text"), PLUS, MINUS).cast("bigint")
-    documents = spread_rows(table(spark, sf_dir, "documents"))
-    return documents.select("doc_id", score.alias("score"))
+    return table(spark, sf_dir, "documents").select("doc_id", score.alias("score"))
 
 
 def document_score_builtin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    score = lexicon_score(F.col("text")).cast("bigint")
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", score.alias("score"))
+    score = lexicon_score(F.col("comments")).cast("bigint")
+    return supplier_reviews(spark, sf_dir).select("doc_id", score.alias("score"))
 
 
 def nation_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -315,32 +346,33 @@ def text_length_top(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def profile_top(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_by_matches(suppliers(spark, sf_dir), staged_profile(spark, sf_dir), 20)
+    return top_by_matches(suppliers(spark, sf_dir), review_profile(spark, sf_dir), 20)
 
 
 def profile_without_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_match(
         suppliers(spark, sf_dir),
-        staged_profile(spark, sf_dir),
+        review_profile(spark, sf_dir),
         key="id",
         match_key="listing_id",
+        distinct=True,
     )
 
 
 def profile_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_by_group(
-        suppliers(spark, sf_dir), staged_profile(spark, sf_dir), group="nation"
+        suppliers(spark, sf_dir), review_profile(spark, sf_dir), group="nation"
     )
 
 
 def profile_length(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return length_by_entity(suppliers(spark, sf_dir), staged_profile(spark, sf_dir), 5)
+    return length_by_entity(suppliers(spark, sf_dir), review_profile(spark, sf_dir), 5)
 
 
 def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "bands")
     banded = value_band(spark, sf_dir)
-    write_table(banded, path, partition_by="band", rebalance=True)
+    write_table(banded, path, partition_by="band")
     return spark.read.schema(banded.schema).parquet(path)
 
 
@@ -382,6 +414,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "plausible_range": plausible_range,
         "value_band": value_band,
         "group_stats_rank": group_stats_rank,
+        "group_stats_small": group_stats_small,
         "rank_bucketed": rank_bucketed,
         "top_by_matches": volume_top,
         "without_match": volume_without_match,
@@ -436,39 +469,68 @@ def oracle_sql() -> dict[str, str]:
                     WHEN price_num < 300000 THEN 'middle' ELSE 'high' END AS band
         FROM ({plausible})
     """
-    reviews = """
-        SELECT ((doc_id % n) * (doc_id % n)) % n AS listing_id, doc_id AS id, text AS comments
+    praise = " ".join(f"WHEN {rest} THEN '{words}'" for rest, words in PRAISE.items())
+    reviews = f"""
+        SELECT CASE WHEN doc_id % 19 <> 6 THEN ((doc_id % n) * (doc_id % n)) % n END AS listing_id,
+               CASE WHEN doc_id % 17 <> 4 THEN doc_id END AS id, doc_id,
+               CASE WHEN doc_id % 11 <> 3 THEN
+                    CASE WHEN doc_id % 13 <> 5 THEN text || CASE doc_id % 4 {praise} END
+                         ELSE '' END END AS comments
         FROM documents, (SELECT count(*) AS n FROM supplier)
     """
-    entities = "SELECT s_suppkey AS id, s_name AS name, s_nationkey AS nation FROM supplier"
+    supplier = """
+        SELECT *, CASE WHEN s_suppkey % 50 <> 7 THEN s_suppkey END AS id
+        FROM (SELECT * FROM supplier UNION ALL SELECT * FROM supplier WHERE s_suppkey % 10 = 0)
+    """
+    entities = f"SELECT id, s_name AS name, s_nationkey AS nation FROM ({supplier})"
+
+    def exact(total: str, n: str, digits: int) -> str:
+        """Their quotient, rounded half away from zero in whole numbers."""
+        total, n = f"CAST({total} AS HUGEINT)", f"CAST({n} AS HUGEINT)"
+        return f"""CASE WHEN {n} > 0 THEN CAST(sign({total}) * ((2 * {10**digits} * abs({total}) + {n})
+                   // (2 * {n})) AS DOUBLE) / {10.0**digits} END"""
+
+    def exact_avg(column: str, unit: int = 1, digits: int = 2) -> str:
+        return exact(f"sum(CAST(round({column} * {unit}) AS BIGINT))", f"({unit} * count({column}))", digits)
+
     joined = f"({reviews}) r JOIN ({entities}) l ON r.listing_id = l.id"
     score = score_sql("comments", PLUS, MINUS)
     builtin_score = score_sql("comments", POSITIVE, NEGATIVE)
     scores = f"""
-        SELECT nation, count(*) AS review_count, round(avg({score}), 3) AS avg_sentiment
+        SELECT nation, count(*) AS review_count, {exact_avg(score, 1, 3)} AS avg_sentiment
         FROM {joined} GROUP BY nation
     """
     lengths = f"""
-        SELECT r.listing_id, l.name, round(avg(length(r.comments)), 1) AS avg_comment_length,
+        SELECT r.listing_id, l.name, {exact_avg("length(r.comments)", 1, 1)} AS avg_comment_length,
                count(r.id) AS reviews_count
         FROM {joined} GROUP BY r.listing_id, l.name HAVING count(r.id) >= 5
     """
+
+    def line_stats_sql(key: str) -> str:
+        return f"""
+            SELECT {key}, count(*) AS line_count,
+                   {exact_avg("l_extendedprice", 100)} AS avg_price,
+                   round(min(l_extendedprice), 2) AS min_price,
+                   round(max(l_extendedprice), 2) AS max_price,
+                   {exact_avg("l_discount", 100)} AS avg_discount
+            FROM lineitem GROUP BY {key}
+        """
+
     unmatched = f"""
         SELECT * FROM ({entities}) l
         WHERE NOT EXISTS (SELECT 1 FROM ({reviews}) r WHERE r.listing_id = l.id)
     """
 
-    # The job's tables. Prices are whole numbers, so their averages are rounded exactly
-    # as (200 * sum + n) // (2 * n) cents.
-    listings = """
+    # The job's tables.
+    listings = f"""
         SELECT *, CASE WHEN price_num < 2000 THEN 'Budget'
                        WHEN price_num < 5000 THEN 'Mid-range' ELSE 'Luxury' END AS price_category
         FROM (
-            SELECT s_suppkey AS id, 'A "quiet", tidy' || chr(10) || 'home of ' || s_name AS name,
+            SELECT id, 'A "quiet", tidy' || chr(10) || 'home of ' || s_name AS name,
                    CAST(s_nationkey AS BIGINT) AS host_id, 'host' AS host_name,
                    CAST(s_nationkey AS VARCHAR) AS neighbourhood_cleansed,
                    'Private room' AS room_type, 'Private room in home' AS property_type,
-                   '$' || format('{:,.2f}', floor(s_acctbal)) AS price,
+                   '$' || format('{{:,.2f}}', amount) AS price,
                    CAST(s_suppkey % 3 + 1 AS INTEGER) AS minimum_nights,
                    CAST(s_suppkey % 9 AS INTEGER) AS number_of_reviews,
                    CAST(NULL AS DOUBLE) AS reviews_per_month,
@@ -476,15 +538,13 @@ def oracle_sql() -> dict[str, str]:
                        AS review_scores_rating,
                    CAST(NULL AS DOUBLE) AS review_scores_location,
                    DATE '2020-06-01' AS first_review,
-                   floor(s_acctbal) AS price_num
-            FROM supplier WHERE s_suppkey % 37 <> 0)
+                   amount AS price_num
+            FROM (SELECT *, CASE WHEN s_nationkey IN {TIED} THEN CAST(2500 AS DOUBLE)
+                                 ELSE floor(s_acctbal) END AS amount FROM ({supplier}))
+            WHERE s_suppkey % 37 <> 0)
         WHERE price_num BETWEEN 10 AND 9000
     """
 
-    def exact_avg(column: str) -> str:
-        total, n = f"CAST(sum({column}) AS BIGINT)", f"count({column})"
-        return f"CASE WHEN {n} > 0 THEN ((200 * {total} + {n}) // (2 * {n})) / 100.0 END"
-
     by_neighbourhood = f"""
         SELECT *, rank() OVER (ORDER BY avg_price DESC NULLS LAST) AS price_rank FROM (
             SELECT neighbourhood_cleansed, count(*) AS listing_count,
@@ -495,7 +555,7 @@ def oracle_sql() -> dict[str, str]:
     job_joined = f"({reviews}) r JOIN ({listings}) l ON r.listing_id = l.id"
     top_reviewed = f"""
         SELECT l.id, l.name, count(r.id) AS num_reviews FROM {job_joined}
-        GROUP BY l.id, l.name ORDER BY num_reviews DESC, l.id LIMIT 20
+        GROUP BY l.id, l.name ORDER BY num_reviews DESC, l.id LIMIT {JOB_TOP}
     """
     without_reviews = f"""
         SELECT id, name, neighbourhood_cleansed, price_num FROM ({listings}) l
@@ -508,14 +568,14 @@ def oracle_sql() -> dict[str, str]:
     """
     sentiment = f"""
         SELECT neighbourhood_cleansed, count(*) AS review_count,
-               round(avg({builtin_score}), 3) AS avg_sentiment
+               {exact_avg(builtin_score, 1, 3)} AS avg_sentiment
         FROM {job_joined} GROUP BY neighbourhood_cleansed
     """
     comment_length = f"""
-        SELECT r.listing_id, l.name, round(avg(length(r.comments)), 1) AS avg_comment_length,
+        SELECT r.listing_id, l.name, {exact_avg("length(r.comments)", 1, 1)} AS avg_comment_length,
                count(r.id) AS reviews_count
-        FROM {job_joined} GROUP BY r.listing_id, l.name HAVING count(r.id) >= 1
-        ORDER BY avg_comment_length DESC NULLS LAST, r.listing_id LIMIT 20
+        FROM {job_joined} GROUP BY r.listing_id, l.name HAVING count(r.id) >= {JOB_FLOOR}
+        ORDER BY avg_comment_length DESC NULLS LAST, r.listing_id LIMIT {JOB_TOP}
     """
     gold = dict(
         zip(
@@ -539,15 +599,11 @@ def oracle_sql() -> dict[str, str]:
         "currency_parse": prices,
         "plausible_range": plausible,
         "value_band": bands,
-        "group_stats_rank": """
-            SELECT *, rank() OVER (ORDER BY avg_price DESC NULLS LAST) AS price_rank FROM (
-                SELECT l_suppkey, count(*) AS line_count,
-                       round(avg(l_extendedprice), 2) AS avg_price,
-                       round(min(l_extendedprice), 2) AS min_price,
-                       round(max(l_extendedprice), 2) AS max_price,
-                       round(avg(l_discount), 2) AS avg_discount
-                FROM lineitem GROUP BY l_suppkey)
+        "group_stats_rank": f"""
+            SELECT *, rank() OVER (ORDER BY avg_price DESC NULLS LAST) AS price_rank
+            FROM ({line_stats_sql("l_suppkey")})
         """,
+        "group_stats_small": line_stats_sql("l_orderkey"),
         "rank_bucketed": """
             SELECT *, rank() OVER (ORDER BY quantity DESC NULLS LAST) AS quantity_rank FROM (
                 SELECT l_orderkey, CAST(sum(l_quantity) AS BIGINT) AS quantity
@@ -564,15 +620,14 @@ def oracle_sql() -> dict[str, str]:
         """,
         "without_match_text": unmatched,
         "band_summary": f"""
-            SELECT band, count(*) AS order_count, round(avg(price_num), 2) AS avg_price
+            SELECT band, count(*) AS order_count, {exact_avg("price_num", 100)} AS avg_price
             FROM ({bands}) GROUP BY band
         """,
         "lexicon_score": f"""
             SELECT doc_id, {score_sql("text", PLUS, MINUS)} AS score FROM documents
         """,
         "lexicon_score_builtin": f"""
-            SELECT conv_id, turn, {score_sql("text", POSITIVE, NEGATIVE)} AS score
-            FROM conversations
+            SELECT doc_id, {builtin_score} AS score FROM ({reviews})
         """,
         "score_by_group": scores,
         "text_length_sql": lengths,

@@ -1,11 +1,15 @@
 """General table operators; columns, thresholds and word lists are arguments."""
 
-from hearthline.operators.groups import group_stats, within
+from hearthline.operators.groups import exact_avg, group_stats, within
 from hearthline.operators.matches import (
     length_by_entity,
+    length_of,
     match_profile,
+    matched,
     score_by_group,
+    score_of,
     top_by_matches,
+    top_of,
     without_match,
 )
 from hearthline.operators.ranks import with_rank
@@ -13,12 +17,17 @@ from hearthline.operators.sql import TEXT_LENGTH, sql_over
 
 __all__ = [
     "TEXT_LENGTH",
+    "exact_avg",
     "group_stats",
     "length_by_entity",
+    "length_of",
     "match_profile",
+    "matched",
     "score_by_group",
+    "score_of",
     "sql_over",
     "top_by_matches",
+    "top_of",
     "with_rank",
     "within",
     "without_match",

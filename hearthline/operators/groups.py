@@ -1,9 +1,9 @@
 """Range filter and statistics per group."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_STATISTICS = {"avg": F.avg, "min": F.min, "max": F.max}
+MICRO = 1_000_000
 
 
 def within(df: DataFrame, column: str, low: float, high: float) -> DataFrame:
@@ -11,6 +11,23 @@ def within(df: DataFrame, column: str, low: float, high: float) -> DataFrame:
     return df.filter(F.col(column).between(low, high))
 
 
+def exact_avg(column: str, digits: int) -> Column:
+    """Average of the values to six decimals, rounded half away from zero.
+
+    The sum is exact, so the result does not depend on the order of addition. Only a
+    group with a value that is not finite, or not below 10**18, has a floating average.
+    """
+    value = F.col(column).try_cast("decimal(24,6)")
+    n, total = F.count(value), F.sum(value)
+    units = F.abs(total * F.lit(MICRO)).cast("decimal(38,0)")
+    half_up = F.call_function(
+        "div", units * F.lit(2 * 10**digits) + n * F.lit(MICRO), n * F.lit(2 * MICRO)
+    )
+    rounded = F.signum(total) * half_up / F.lit(10.0**digits)
+    exact = (n > 0) & (n == F.count(column))
+    return F.when(exact, rounded.cast("double")).otherwise(F.round(F.avg(column), digits))
+
+
 def group_stats(
     df: DataFrame, key: str, count: str, digits: int = 2, **statistics: tuple[str, str]
 ) -> DataFrame:
@@ -19,8 +36,10 @@ def group_stats(
     A NULL key is a group of its own. Partial aggregation leaves one row per task and
     group before the shuffle, so the size of a group does not matter.
     """
-    measures = [
-        F.round(_STATISTICS[kind](column), digits).alias(name)
-        for name, (kind, column) in statistics.items()
-    ]
+    kinds = {
+        "avg": lambda column: exact_avg(column, digits),
+        "min": lambda column: F.round(F.min(column), digits),
+        "max": lambda column: F.round(F.max(column), digits),
+    }
+    measures = [kinds[kind](column).alias(name) for name, (kind, column) in statistics.items()]
     return df.groupBy(key).agg(F.count(F.lit(1)).alias(count), *measures)

@@ -1,88 +1,79 @@
 """Exact rank over all rows."""
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearthline.sinks import stage
-
-MOST_BUCKETS = 1000
-
-
-def with_rank(
-    df: DataFrame,
-    by: str,
-    name: str,
-    *,
-    at_most: int | None = None,
-    window_rows: int = 1_000_000,
-    bucket_rows: int = 1_000_000,
-) -> DataFrame:
-    """``df`` with the SQL ``rank()`` of the number ``by``, highest first, NULL last.
-
-    Up to ``window_rows`` rows are ranked by one window, more of them by value buckets
-    of about ``bucket_rows`` distinct values; both give the same ranks. ``at_most`` is
-    a proven limit of the number of rows, such as the known rows under an aggregate.
-    Without a limit that suffices, ``df`` is staged, which counts it: a job that runs
-    when this function is called.
-    """
-    if at_most is None or at_most > window_rows:
-        df, at_most, _ = stage(df, "ranked")
-    if at_most <= window_rows:
-        highest_first = Window.orderBy(F.col(by).desc())
-        return df.withColumn(name, F.rank().over(highest_first).cast("bigint"))
-    buckets = min(MOST_BUCKETS, -(-at_most // bucket_rows))
-    return _rank_in_buckets(df, by, name, buckets)
+DRAWS = 16  # values drawn for each range
 
 
-def _rank_in_buckets(df: DataFrame, by: str, name: str, buckets: int) -> DataFrame:
-    """Rank the distinct values, then look every row's rank up by its value.
+def with_rank(df: DataFrame, by: str, name: str, *, ranges: int | None = None) -> DataFrame:
+    """``df`` with the SQL ``rank()`` of the column ``by``, highest first, NULL last.
 
-    Equal values are counted before anything is sorted, so a value shared by many
-    rows weighs no more than any other, and the look-up is an ordinary join whose
-    hot keys adaptive execution splits.
+    Any type that can be ordered, NaN above all numbers; a column ``name`` is replaced.
+    The distinct values are counted, dealt out to ``ranges`` ranges (the session's
+    shuffle partitions by default), ranked inside and shifted by the rows of higher
+    ranges; every row then looks its value up in an ordinary join, whose hot keys
+    adaptive execution splits. All of it is one plan: no job runs and no file is written
+    before the result is asked for.
     """
-    value = F.col(by)
-    values = df.groupBy(value.alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
-    cuts = _cuts(df, value, buckets)
-    bucketed = values.withColumn("_bucket", _bucket(F.col("_value"), cuts))
-
-    # At most MOST_BUCKETS + 1 rows: one task and a broadcast are enough.
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    value, rows, cuts, at = (f"_{uuid4().hex[:8]}_{x}" for x in ("value", "rows", "cuts", "range"))
+    values = df.groupBy(F.col(by).alias(value)).agg(F.count(F.lit(1)).alias(rows))
+    ranged = values.withColumn(cuts, _cuts(values, value, n).scalar()).select(
+        value, rows, _range(F.col(value), F.col(cuts), n).alias(at)
+    )
+    # As many rows as there are ranges: one task and a broadcast are enough.
+    above = Window.orderBy(F.col(at).desc()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        bucketed.groupBy("_bucket")
-        .agg(F.sum("_rows").alias("_size"))
-        .select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+        ranged.groupBy(at)
+        .agg(F.sum(rows).alias(rows))
+        .select(at, F.coalesce(F.sum(rows).over(above), F.lit(0)).alias(cuts))
     )
     higher = (
-        Window.partitionBy("_bucket")
-        .orderBy(F.col("_value").desc())
+        Window.partitionBy(at)
+        .orderBy(F.col(value).desc())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    ranks = bucketed.join(F.broadcast(offsets), "_bucket").select(
-        "_value",
-        (F.col("_offset") + F.coalesce(F.sum("_rows").over(higher), F.lit(0)) + 1).alias(name),
+    inside = ranged.repartitionById(n + 1, F.col(at)).select(
+        value, at, (F.coalesce(F.sum(rows).over(higher), F.lit(0)) + 1).alias(rows)
+    )
+    ranks = inside.join(F.broadcast(offsets), at).select(
+        value, (F.col(rows) + F.col(cuts)).cast("bigint").alias(rows)
     )
-    return df.join(ranks, value.eqNullSafe(F.col("_value"))).drop("_value")
+    looked_up = df.join(ranks, F.col(by).eqNullSafe(F.col(value)))
+    return looked_up.withColumn(name, F.col(rows)).drop(value, rows)
 
 
-def _cuts(df: DataFrame, value: Column, buckets: int) -> list:
-    """Values that part the rows into about equal buckets, at most ``MOST_BUCKETS`` - 1.
+def _cuts(values: DataFrame, value: str, ranges: int) -> DataFrame:
+    """One row: a sorted array of at most ``ranges`` - 1 values that part all about evenly.
 
-    They only steer the balance: any cuts give the right ranks. A bucket between two
-    row quantiles has no more distinct values than rows.
+    Of the values whose hashes share a remainder the one with the least hash is drawn, so
+    the number of draws is bounded and partial aggregates carry no more than that.
     """
-    if buckets < 2:
-        return []
-    fractions = [i / buckets for i in range(1, buckets)]
-    quantiles = (
-        df.filter(value.isNotNull() & ~F.isnan(value.cast("double")))
-        .agg(F.percentile_approx(value, fractions, 4 * buckets))
-        .first()[0]
+    hashed = F.xxhash64(value)
+    draws = values.groupBy(F.pmod(hashed, F.lit(ranges * DRAWS)).alias("draw")).agg(
+        F.min_by(value, hashed).alias("drawn")
     )
-    return sorted(set(quantiles or []))
+    drawn = F.array_sort(F.collect_list("drawn"))
+    return draws.agg(drawn.alias("drawn")).select(
+        F.filter("drawn", lambda _, i: i % DRAWS == DRAWS // 2).alias("cuts")
+    )
+
+
+def _range(value: Column, cuts: Column, ranges: int) -> Column:
+    """0 for NULL, else one more than the cuts not above ``value``, by binary search."""
 
+    def halve(found: Column, _: Column) -> Column:
+        low, high = found["low"], found["high"]
+        middle = F.shiftright(low + high, 1)
+        right = (low < high) & (F.get(cuts, middle) <= value)
+        return F.when(right, F.struct((middle + 1).alias("low"), high.alias("high"))).otherwise(
+            F.struct(low.alias("low"), middle.alias("high"))
+        )
 
-def _bucket(value: Column, cuts: list) -> Column:
-    """How many cuts lie above ``value``; NULL comes after all others."""
-    above = F.size(F.filter(F.lit(cuts), lambda cut: cut > value)) if cuts else F.lit(0)
-    return F.when(value.isNull(), F.lit(len(cuts) + 1)).otherwise(above)
+    start = F.struct(F.lit(0).alias("low"), F.least(F.size(cuts), F.lit(ranges - 1)).alias("high"))
+    steps = F.sequence(F.lit(1), F.lit(max(ranges.bit_length(), 1)))
+    found = F.aggregate(steps, start, halve, lambda found: found["low"])
+    return F.when(value.isNull(), F.lit(0)).otherwise(found + 1)

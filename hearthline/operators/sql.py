@@ -2,24 +2,25 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-# The SQL form of ``length_by_entity`` over listings and reviews.
+# The SQL form of ``length_by_entity`` over listings and reviews. The groups are structs, which
+# the join's shuffle does not cover: the partial sums are shuffled, and hot listings split.
 TEXT_LENGTH = """
     WITH lengths AS (
         SELECT listing_id, count(id) AS ids, count(comments) AS texts,
                sum(length(comments)) AS chars
         FROM {reviews}
         WHERE listing_id IS NOT NULL
-        GROUP BY listing_id
-    ), names AS (
-        SELECT id, name, count(*) AS copies
-        FROM {listings}
-        GROUP BY id, name
+        GROUP BY listing_id, pmod(xxhash64(listing_id), 2)
+    ), sums AS (
+        SELECT struct(listing_id, name) AS entity, max(chars) AS chars, max(texts) AS texts,
+               sum(ids) AS reviews_count
+        FROM {listings} JOIN lengths ON id = listing_id
+        GROUP BY struct(listing_id, name)
     )
-    SELECT listing_id, name,
-           round(try_divide(chars, texts), 1) AS avg_comment_length,
-           copies * ids AS reviews_count
-    FROM names JOIN lengths ON id = listing_id
-    WHERE copies * ids >= :min_reviews
+    SELECT entity.listing_id AS listing_id, entity.name AS name,
+           round(try_divide(chars, texts), 1) AS avg_comment_length, reviews_count
+    FROM sums
+    WHERE reviews_count >= :min_reviews
     ORDER BY avg_comment_length DESC, listing_id, name
 """
 

@@ -10,11 +10,12 @@ from hearthline.functions import band, currency, lexicon_score
 from hearthline.operators import (
     TEXT_LENGTH,
     group_stats,
-    length_by_entity,
+    length_of,
     match_profile,
-    score_by_group,
+    matched,
+    score_of,
     sql_over,
-    top_by_matches,
+    top_of,
     with_rank,
     within,
     without_match,
@@ -37,13 +38,8 @@ def listings_clean(
     )
 
 
-def price_by_neighbourhood(
-    listings: DataFrame, *, ordered: bool = True, at_most: int | None = None
-) -> DataFrame:
-    """Price statistics per neighbourhood, ranked by the average in cents.
-
-    ``at_most`` is the number of listings, where it is known (see ``with_rank``).
-    """
+def price_by_neighbourhood(listings: DataFrame, *, ordered: bool = True) -> DataFrame:
+    """Price statistics per neighbourhood, ranked by the average in cents."""
     stats = group_stats(
         listings,
         "neighbourhood_cleansed",
@@ -53,7 +49,7 @@ def price_by_neighbourhood(
         max_price=("max", "price_num"),
         avg_rating=("avg", "review_scores_rating"),
     )
-    ranked = with_rank(stats, "avg_price", "price_rank", at_most=at_most).withColumn(
+    ranked = with_rank(stats, "avg_price", "price_rank").withColumn(
         "price_rank", F.col("price_rank").cast("int")
     )
     return ranked.orderBy("price_rank", "neighbourhood_cleansed") if ordered else ranked
@@ -84,36 +80,77 @@ def review_profile(reviews: DataFrame) -> DataFrame:
     )
 
 
+def reviewed(listings: DataFrame, profile: DataFrame) -> DataFrame:
+    """Every listing row with the profile of its reviews: the join that four tables share."""
+    shown = ["id", "name", "neighbourhood_cleansed", "price_num"]
+    return matched(listings, profile, "id", shown, how="left")
+
+
+def top_reviewed(joined: DataFrame, *, top_n: int = 20) -> DataFrame:
+    return top_of(joined, top_n, key="id", label="name", count="num_reviews")
+
+
 def top_reviewed_listings(
     listings: DataFrame, profile: DataFrame, *, top_n: int = 20
 ) -> DataFrame:
-    return top_by_matches(listings, profile, top_n)
+    return top_reviewed(reviewed(listings, profile), top_n=top_n)
 
 
-def listings_without_reviews(listings: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Listings without reviews; ``reviews`` may be the reviews or their profile."""
-    return without_match(listings, reviews, key="id", match_key="listing_id").select(
+def never_reviewed(joined: DataFrame) -> DataFrame:
+    return joined.filter(F.col("rows").isNull()).select(
         "id", "name", "neighbourhood_cleansed", "price_num"
     )
 
 
+def listings_without_reviews(
+    listings: DataFrame, reviews: DataFrame, *, profile: bool = False
+) -> DataFrame:
+    """Listings without reviews; ``profile`` tells that ``reviews`` are their profile."""
+    return without_match(
+        listings, reviews, key="id", match_key="listing_id", distinct=profile
+    ).select("id", "name", "neighbourhood_cleansed", "price_num")
+
+
+def sentiment(joined: DataFrame) -> DataFrame:
+    return score_of(
+        joined,
+        group="neighbourhood_cleansed",
+        count="review_count",
+        average="avg_sentiment",
+        digits=3,
+    )
+
+
 def sentiment_by_neighbourhood(
     listings: DataFrame, profile: DataFrame, *, ordered: bool = True
 ) -> DataFrame:
-    scores = score_by_group(listings, profile)
+    scores = sentiment(reviewed(listings, profile))
     if not ordered:
         return scores
     return scores.orderBy(F.col("avg_sentiment").desc(), "neighbourhood_cleansed")
 
 
+def comment_length(
+    joined: DataFrame, *, min_reviews: int = 5, top_n: int | None = None
+) -> DataFrame:
+    ranked = length_of(
+        joined,
+        min_reviews,
+        key="id",
+        label="name",
+        match_key="listing_id",
+        average="avg_comment_length",
+        count="reviews_count",
+        digits=1,
+    ).orderBy(F.col("avg_comment_length").desc(), "listing_id", "name")
+    return ranked if top_n is None else ranked.limit(top_n)
+
+
 def top_comment_length(
     listings: DataFrame, profile: DataFrame, *, min_reviews: int = 5, top_n: int | None = None
 ) -> DataFrame:
     """Listings with enough reviews, longest average comment first; all or ``top_n``."""
-    ranked = length_by_entity(listings, profile, min_reviews).orderBy(
-        F.col("avg_comment_length").desc(), "listing_id", "name"
-    )
-    return ranked if top_n is None else ranked.limit(top_n)
+    return comment_length(reviewed(listings, profile), min_reviews=min_reviews, top_n=top_n)
 
 
 def top_comment_length_sql(

@@ -1,5 +1,5 @@
 """Writers."""
 
-from hearthline.sinks.parquet import Staged, shared_folder, stage, unstage, write_table
+from hearthline.sinks.parquet import Staged, shared_folder, stage, staging, unstage, write_table
 
-__all__ = ["Staged", "shared_folder", "stage", "unstage", "write_table"]
+__all__ = ["Staged", "shared_folder", "stage", "staging", "unstage", "write_table"]

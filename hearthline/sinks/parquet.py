@@ -1,6 +1,7 @@
 """Parquet tables and staged intermediate results."""
 
-import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import NamedTuple
 from uuid import uuid4
 
@@ -14,17 +15,21 @@ def write_table(
     *,
     partition_by: str | None = None,
     partitions: int | None = None,
-    rebalance: bool = False,
+    rebalance: bool | None = None,
 ) -> int:
     """Replace the table at ``path`` with ``df`` and return the number of rows written.
 
-    By default nothing is shuffled: every task writes its own rows. ``partitions``
-    spreads them over that many tasks. ``rebalance`` shuffles by ``partition_by`` and
-    lets adaptive execution split large and join small pieces, for few, even files.
+    ``partitions`` spreads the rows over that many tasks. ``rebalance`` shuffles by
+    ``partition_by`` and lets adaptive execution split large and join small pieces, for
+    few, even files; without ``partitions`` it is the default of tables that are
+    partitioned, which every task would else write a file of for each value. Other
+    tables are not shuffled: every task writes its own rows.
 
     The rows are counted by the write itself. The count sits above any shuffle, in
     the stage that writes, where a repeated task is not counted twice.
     """
+    if rebalance is None:
+        rebalance = partition_by is not None and partitions is None
     if partitions is not None:
         df = df.repartition(partitions)
     elif rebalance:
@@ -42,17 +47,10 @@ def write_table(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors share: the cluster's ``spark.checkpoint.dir``.
-
-    Only a local session without one gets a folder of its own.
-    """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    """The session's ``spark.checkpoint.dir``, a folder that all executors share."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
-        folder = context.getCheckpointDir()
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return folder
 
 
@@ -62,21 +60,37 @@ class Staged(NamedTuple):
     path: str
 
 
-def stage(df: DataFrame, name: str) -> Staged:
+def stage(df: DataFrame, name: str, path: str | None = None) -> Staged:
     """``df`` written to the shared folder and read back, with its number of rows.
 
     Cuts the lineage, so that several readers neither recompute the input nor depend
     on the executors that made it, and gives Catalyst the real size for its joins.
-    Like a checkpoint, the files stay until ``unstage`` or until the folder is cleaned.
+    Like a checkpoint, the files stay until ``unstage`` or until the folder is cleaned;
+    ``staging`` deletes them by itself.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid4().hex}"
+    path = path or f"{shared_folder(spark)}/{name}-{uuid4().hex}"
     rows = write_table(df, path)
     return Staged(spark.read.schema(df.schema).parquet(path), rows, path)
 
 
-def unstage(staged: Staged) -> None:
-    """Delete the files of a staged table that nobody reads any more."""
-    spark = staged.table.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(staged.path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def unstage(spark: SparkSession, path: str) -> None:
+    """Delete staged files that nobody reads any more, or what a failed write left."""
+    files = spark._jvm.org.apache.hadoop.fs.Path(path)  # PySpark has no call for it
+    files.getFileSystem(spark._jsc.hadoopConfiguration()).delete(files, True)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator:
+    """A ``stage`` whose files are deleted at the end, also if something failed."""
+    paths: list[str] = []
+
+    def staged(df: DataFrame, name: str) -> Staged:
+        paths.append(f"{shared_folder(spark)}/{name}-{uuid4().hex}")
+        return stage(df, name, paths[-1])
+
+    try:
+        yield staged
+    finally:
+        for path in paths:
+            unstage(spark, path)

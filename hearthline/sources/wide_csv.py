@@ -44,42 +44,33 @@ def read_wide_csv(
     inferred. Neither gzip nor line breaks inside fields can be split, so each file
     is read by one task: pass a folder or a list of many files.
 
-    Columns are found by the header of the first file. A second file with another
-    header stops the job instead of mixing up columns, unless ``check_headers`` is off
-    (which headers with repeated or empty names in several files need).
+    Columns are found by the header of the first file. A file whose header is not the
+    one Spark derives from it stops the job instead of mixing up columns: another order of
+    columns, and also repeated or empty names, in a single file as in many. Turn
+    ``check_headers`` off for the latter; all files must then have the same columns.
     """
-
-    def scan(any_header: bool) -> DataFrame:
-        return spark.read.csv(
-            path,
-            header=True,
-            multiLine=True,
-            quote='"',
-            escape='"',
-            mode="PERMISSIVE",
-            enforceSchema=any_header,
-        )
-
-    raw = scan(any_header=True)
-    if check_headers and len(raw.inputFiles()) > 1:
-        raw = scan(any_header=False)
+    raw = spark.read.csv(
+        path,
+        header=True,
+        multiLine=True,
+        quote='"',
+        escape='"',
+        mode="PERMISSIVE",
+        enforceSchema=not check_headers,
+    )
     return project_cast(raw, schema)
 
 
-def spread_rows(source: DataFrame) -> DataFrame:
-    """A scan that keeps at most half of the cores busy, spread over all of them.
+def spread_rows(source: DataFrame, width: int) -> DataFrame:
+    """The rows of a scan, dealt out evenly to ``width`` tasks.
 
-    Costly expressions over the rows of a few unsplittable files then run everywhere
-    instead of in the tasks that read the files. The shuffle goes by row number, not
-    by content, so neither hot keys nor copies gather; a repeated scan numbers its
-    rows alike. Scans with more tasks, as of any large input, are left as they are.
+    For few files that can't be split, so that costly expressions run everywhere instead
+    of in the tasks that read the files; a scan of about ``width`` tasks or more needs it
+    not. The shuffle goes by row number, not by content, so neither hot keys nor copies
+    gather; a repeated scan numbers its rows alike.
     """
-    cores = source.sparkSession.sparkContext.defaultParallelism
-    tasks = source.rdd.getNumPartitions()  # plans the scan, reads nothing
-    if 2 * tasks > cores:
-        return source
     numbered = source.withColumn("_row", F.monotonically_increasing_id())
-    return numbered.repartition(cores, "_row").drop("_row")
+    return numbered.repartition(width, "_row").drop("_row")
 
 
 def read_listings(spark: SparkSession, path: str | list[str]) -> DataFrame:

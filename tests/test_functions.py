@@ -58,55 +58,66 @@ def test_band_ceilings_are_exclusive(spark, value, label):
     assert one_column(spark, [value], "double").select(bands.alias("b")).first().b == label
 
 
-def score_by_rule(text, positive=POSITIVE, negative=NEGATIVE):
-    """The scoring rule in plain Python."""
-    total = 0
-    for word in (text or "").lower().replace(".", " ").replace(",", " ").split():
-        total += 1 if word in positive else -1 if word in negative else 0
-    return total
+# Known words, what they count, and what parts words; the score follows from how a text is built.
+WORDS = [(w, 1) for w in POSITIVE] + [(w, -1) for w in NEGATIVE]
+CASES = [(w.upper(), s) for w, s in WORDS] + [(w.title(), s) for w, s in WORDS]
+OTHERS = [(w, 0) for w in ("great!", "clean<br/>", "good-bad", "not", "goodness", "gÖÖd", "ba\u0345d", "bad\u200bgood")]
+SPACES = [chr(c) for c in range(0x3100) if chr(c).isspace()]
+SEPARATORS = [*SPACES, ".", ",", "..", ", ", " . "]
+
+
+def built(rng, length):
+    """A text of drawn words and separators, and its score."""
+    drawn = rng.choices(WORDS + CASES + OTHERS, k=length)
+    parts = [rng.choice(["", *SEPARATORS])]
+    for word, _ in drawn:
+        parts += [word, rng.choice(SEPARATORS)]
+    return "".join(parts), sum(score for _, score in drawn)
 
 
 EDGES = [
-    None,
-    "",
-    " ",
-    "great",
-    "GREAT great Great",
-    "great!",
-    "clean<br/>",
-    "clean,dirty.noisy",
-    "not good",
-    "good bad　bad",
-    "good\x1cgood\x85bad bad​good",
-    "good-bad",
-    "..good,,",
-    "İ gÖÖd nice",
+    (None, 0),
+    ("", 0),
+    (" ", 0),
+    ("great", 1),
+    ("GREAT great Great", 3),
+    ("great!", 0),
+    ("clean<br/>", 0),
+    ("clean,dirty.noisy", -1),
+    ("not good", 1),
+    ("..good,,", 1),
+    ("\u0130 nice", 1),
 ]
 
 
 def test_score_edges(spark):
-    df = one_column(spark, EDGES).select("x", lexicon_score(F.col("x")).alias("s"))
-    assert [(r.x, r.s) for r in df.collect()] == [(t, score_by_rule(t)) for t in EDGES]
+    texts = [text for text, _ in EDGES]
+    df = one_column(spark, texts).select("x", lexicon_score(F.col("x")).alias("s"))
+    assert [(r.x, r.s) for r in df.collect()] == EDGES
     assert df.schema["s"].dataType.typeName() == "integer"
 
 
-def test_score_equals_rule_on_random_text(spark):
+def test_score_of_built_texts(spark):
     rng = random.Random(7)
-    spaces = [chr(c) for c in range(0x3100) if chr(c).isspace()]
-    parts = [*POSITIVE, *NEGATIVE, *spaces, *spaces, *".,;!-<>'​ͅΣ", "Good", "BAD"]
-    texts = ["".join(rng.choices(parts, k=rng.randint(1, 40))) for _ in range(4000)]
-    texts += [f"good{chr(c)}bad{chr(c)}nice" for c in range(1, 0x3100)]
-    got = one_column(spark, texts).select(lexicon_score(F.col("x")).alias("s")).collect()
-    assert [r.s for r in got] == [score_by_rule(t) for t in texts]
+    made = [built(rng, rng.randint(0, 40)) for _ in range(4000)]
+    df = one_column(spark, [text for text, _ in made])
+    got = [r.s for r in df.select(lexicon_score(F.col("x")).alias("s")).collect()]
+    assert got == [score for _, score in made]
+
+
+def test_each_character_parts_words_or_not(spark):
+    parting = {*SPACES, ".", ","}
+    characters = [chr(c) for c in range(1, 0x3100)]
+    df = one_column(spark, [f"good{c}nice" for c in characters])
+    got = [r.s for r in df.select(lexicon_score(F.col("x")).alias("s")).collect()]
+    assert got == [2 if c in parting else 0 for c in characters]
 
 
 def test_score_takes_other_words(spark):
-    text = "the cat and the dog of"
-    df = one_column(spark, [text])
-    for plus, minus in ((["the"], ["of"]), (["the"], ["the"]), ([], ["and"]), (["", "cat"], [])):
-        score = lexicon_score(F.col("x"), plus, minus)
-        expected = score_by_rule(text, set(plus) - {""}, set(minus))
-        assert df.select(score.alias("s")).first().s == expected
+    df = one_column(spark, ["the cat and the dog of"])
+    cases = ((["the"], ["of"], 1), (["the"], ["the"], 2), ([], ["and"], -1), (["", "cat"], [], 1))
+    for plus, minus, expected in cases:
+        assert df.select(lexicon_score(F.col("x"), plus, minus).alias("s")).first().s == expected
 
 
 def test_long_text_is_scored_whole(spark):

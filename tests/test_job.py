@@ -3,6 +3,7 @@
 import csv
 import gzip
 import re
+import time
 from datetime import date
 from pathlib import Path
 
@@ -22,8 +23,10 @@ from hearthline.plans import (
     top_comment_length_sql,
     top_reviewed_listings,
 )
+from hearthline.plans.gold import _together
+from hearthline.plans.marketplace import reviewed
 from hearthline.sinks import shared_folder
-from hearthline.sources import read_reviews, spread_rows
+from hearthline.sources import read_listings, read_reviews, spread_rows
 
 # The known small case.
 LISTINGS = [
@@ -159,8 +162,8 @@ def test_orders_of_the_tables(listings, reviews):
 
 
 def test_listings_without_reviews(listings, reviews):
-    for matches in (reviews, review_profile(reviews)):
-        unmatched = listings_without_reviews(listings, matches)
+    for matches, profile in ((reviews, False), (review_profile(reviews), True)):
+        unmatched = listings_without_reviews(listings, matches, profile=profile)
         assert set(rows(unmatched)) == TABLES["listings_without_reviews"]
 
 
@@ -210,11 +213,13 @@ def gold(spark, path, name):
     return back
 
 
-@pytest.mark.parametrize("layout", [{}, {"output_partitions": 4}, {"rebalance": True}])
+@pytest.mark.parametrize(
+    "layout", [{}, {"output_partitions": 4}, {"rebalance": False}, {"spread": 3}]
+)
 def test_job_twice(spark, folder, exports, layout):
     path = f"{folder}/gold"
     shared = Path(shared_folder(spark).removeprefix("file:"))
-    staged = set(shared.glob("review-profile-*"))
+    before = set(shared.iterdir()) if shared.exists() else set()
     for _ in range(2):
         counts = build_gold(spark, *exports, path, min_reviews=1, **layout)
         assert counts == {name: len(table) for name, table in TABLES.items()}
@@ -222,7 +227,7 @@ def test_job_twice(spark, folder, exports, layout):
         for name, table in TABLES.items():
             back = rows(gold(spark, path, name))
             assert len(back) == len(table) and set(back) == table
-    assert set(shared.glob("review-profile-*")) == staged
+    assert (set(shared.iterdir()) if shared.exists() else set()) == before
     assert not spark.sparkContext._jsc.sc().isStopped()
     assert spark.catalog.listTables() == []
 
@@ -255,8 +260,40 @@ def test_a_failing_table_fails_the_job(spark, folder, exports):
     assert build_gold(spark, *exports, f"{folder}/gold")["listings_clean"] == 4
 
 
+def test_a_failing_job_leaves_no_staged_folder(spark, folder, exports):
+    shared = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(shared.iterdir()) if shared.exists() else set()
+    (Path(folder) / "file").write_text("in the way")
+    with pytest.raises(Exception):
+        build_gold(spark, *exports, f"{folder}/file")  # the fact can't be written
+    with pytest.raises(Exception):
+        build_gold(spark, *exports, f"{folder}/gold", top_n=-1)  # a table fails
+    assert (set(shared.iterdir()) if shared.exists() else set()) == before
+
+
+def test_an_error_stops_the_other_actions(spark):
+    def endless():
+        spark.range(0, 10**15, 1, 8).selectExpr("max(xxhash64(id))").collect()
+
+    def fails():
+        time.sleep(3)
+        raise ValueError("first")
+
+    start = time.time()
+    with pytest.raises(ValueError, match="first"):
+        _together(spark, endless, fails)
+    assert time.time() - start < 60
+
+
+def test_the_job_joins_once(spark, exports):
+    fact = listings_clean(read_listings(spark, exports[0]))
+    joined = reviewed(fact, review_profile(read_reviews(spark, exports[1])))
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall("Join", plan)) == 1
+
+
 def test_profile_reads_three_columns_of_the_reviews(spark, exports):
-    profile = review_profile(spread_rows(read_reviews(spark, exports[1])))
+    profile = review_profile(spread_rows(read_reviews(spark, exports[1]), 4))
     plan = profile._jdf.queryExecution().executedPlan().toString()
     read = re.search("ReadSchema: struct<(.*?)>", plan).group(1)
     assert sorted(read.split(",")) == ["comments:string", "id:string", "listing_id:string"]

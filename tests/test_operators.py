@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hearthline.functions import lexicon_score
@@ -97,8 +98,9 @@ def test_profile_form_equals_plain_joins(spark, pair, staged):
     unmatched = "SELECT * FROM {l} l LEFT ANTI JOIN {r} r ON l.id = r.listing_id"
     expected = plain(spark, unmatched, entities, children)
     assert expected.filter("id IS NULL").count() > 0
-    for matches in (children, profile):
-        same(without_match(entities, matches, key="id", match_key="listing_id"), expected)
+    for matches, distinct in ((children, False), (profile, False), (profile, True)):
+        found = without_match(entities, matches, key="id", match_key="listing_id", distinct=distinct)
+        same(found, expected)
 
     for floor in (0, 1, 30):
         lengths = f"""SELECT r.listing_id, l.name,
@@ -171,23 +173,55 @@ NAN = float("nan")
         [round(v, 1) for v in map(random.Random(6).gauss, [0] * 3000, [20] * 3000)] + [1.5] * 1500,
     ],
 )
-@pytest.mark.parametrize("kind", ["double", "bigint", "decimal(12,2)"])
-def test_bucketed_rank_equals_window_rank(spark, values, kind):
+@pytest.mark.parametrize("kind", ["double", "bigint", "decimal(12,2)", "string", "date", "timestamp"])
+def test_rank_equals_window_rank(spark, values, kind):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
-    df = df.withColumn("v", F.when(~F.isnan("v") & (F.abs("v") < 1e9), F.col("v").cast(kind))) if (
-        kind != "double"
-    ) else df
-
-    def ranks(**how):
-        return sorted(map(tuple, with_rank(df, "v", "r", **how).select("i", "r").collect()))
-
-    expected = ranks()
-    assert len(expected) == len(values)
-    assert ranks(at_most=len(values)) == expected
-    assert ranks(at_most=len(values) + 1, window_rows=len(values)) == expected
-    for bucket_rows in (1, 7, 1000):
-        assert ranks(window_rows=0, bucket_rows=bucket_rows) == expected
-    assert with_rank(df, "v", "r").dtypes == with_rank(df, "v", "r", window_rows=0).dtypes
+    finite = F.when(~F.isnan("v") & (F.abs("v") < 1e9), F.col("v"))
+    if kind in ("date", "timestamp"):
+        df = df.withColumn("v", F.timestamp_seconds(finite.cast("int") * 40_000).cast(kind))
+    elif kind != "double":
+        df = df.withColumn("v", finite.cast(kind))
+    highest_first = Window.orderBy(F.col("v").desc())
+    window = df.withColumn("r", F.rank().over(highest_first).cast("bigint"))
+    expected = sorted((r.i, r.r) for r in window.collect())
+    for ranges in (None, 1, 2, 50):
+        ranked = with_rank(df, "v", "r", ranges=ranges)
+        assert sorted((r.i, r.r) for r in ranked.collect()) == expected
+        assert ranked.dtypes == [("i", "int"), ("v", dict(df.dtypes)["v"]), ("r", "bigint")]
+
+
+def test_rank_replaces_a_column_of_its_name(spark):
+    df = spark.createDataFrame([(5, "a"), (7, "b")], "r int, x string")
+    assert sorted(map(tuple, with_rank(df, "x", "r").collect())) == [(1, "b"), (2, "a")]
+    assert sorted(map(tuple, with_rank(df, "r", "r").collect())) == [(1, "b"), (2, "a")]
+
+
+def test_rank_of_many_values(spark):
+    rows = spark.range(0, 200_000, 1, 8).withColumn("v", F.pmod(F.xxhash64("id"), F.lit(150_000)))
+    window = rows.withColumn("r", F.rank().over(Window.orderBy(F.col("v").desc())).cast("bigint"))
+    assert with_rank(rows, "v", "r", ranges=200).exceptAll(window).isEmpty()
+
+
+def test_averages_do_not_depend_on_the_partitioning(spark):
+    rng = random.Random(8)
+    rows = [(n % 500, rng.choice([-1, 1]) * rng.randint(0, 10**7) / 100) for n in range(20_000)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    results = [
+        sorted(map(tuple, group_stats(df.repartition(n), "g", "n", a=("avg", "v")).collect()))
+        for n in (1, 3, 7)
+    ]
+    assert results[0] == results[1] == results[2]
+    for group, n, average in results[0]:
+        total = sum(round(v * 100) for g, v in rows if g == group)
+        assert round(average * 100) == (abs(total) * 2 + n) // (2 * n) * (-1 if total < 0 else 1)
+
+
+def test_averages_of_unusual_values(spark):
+    rows = [("a", NAN), ("a", 1.0), ("b", float("inf")), ("c", 1e300), ("c", 0.0), ("d", None), ("e", 1.0), ("e", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r.a for r in group_stats(df, "g", "n", a=("avg", "v")).collect()}
+    assert str(got.pop("a")) == "nan"
+    assert got == {"b": float("inf"), "c": 5e299, "d": None, "e": 1.0}
 
 
 def test_rank_leaves_gaps_after_ties(spark):

@@ -2,10 +2,12 @@
 
 import math
 import os
+import re
 from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
 
@@ -32,12 +34,33 @@ def sorted_rows(columns, rows):
     return sorted((tuple(plain(row[i]) for i in order) for row in rows), key=repr)
 
 
-def test_every_query_has_an_oracle():
-    assert set(ORACLES) == set(registered.queries())
+def test_every_query_of_the_library_has_an_oracle():
+    queries = set(registered.queries())
+    assert set(ORACLES) <= queries
+    assert all(re.match(r"op\d+_|pipeline$", name) for name in queries - set(ORACLES))
+
+
+def test_inputs_can_fail_a_query(spark):
+    reviews = registered.supplier_reviews(spark, SF_DIR)
+    nothing = reviews.agg(*(F.count_if(F.col(c).isNull()) for c in ("listing_id", "id", "comments")))
+    assert all(nothing.first()) and reviews.filter("comments = ''").count()
+    keys = registered.suppliers(spark, SF_DIR).groupBy("id").count().collect()
+    assert {r["count"] > 1 for r in keys} == {True, False} and None in {r["id"] for r in keys}
+    for name, column in (
+        ("lexicon_score_builtin", "score"),
+        ("job_sentiment_by_neighbourhood", "avg_sentiment"),
+    ):
+        signs = {(r[column] > 0) - (r[column] < 0) for r in registered.queries()[name](spark, SF_DIR).collect()}
+        assert signs >= ({-1, 0, 1} if name == "lexicon_score_builtin" else {1})
+    ranks = registered.queries()["job_price_by_neighbourhood"](spark, SF_DIR).collect()
+    assert len({r["price_rank"] for r in ranks}) < len(ranks)
+    for name in ("top_reviewed_listings", "top_comment_length"):
+        assert registered.queries()[f"job_{name}"](spark, SF_DIR).count() == registered.JOB_TOP
 
 
 SAME_TYPE = {
     "BIGINT": "bigint",
+    "BOOLEAN": "boolean",
     "DATE": "date",
     "DOUBLE": "double",
     "INTEGER": "int",

@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 
 from hearthline.functions import lexicon_score
 from hearthline.operators import (
+    TEXT_LENGTH,
+    length_by_entity,
     match_profile,
     score_by_group,
+    sql_over,
     top_by_matches,
     with_rank,
     without_match,
@@ -67,26 +70,60 @@ def test_a_hot_entity_key_is_split_in_the_anti_join(spark, shuffled_joins):
     assert result.count() == expected
 
 
-def test_a_hot_key_with_many_labels_is_split_against_a_staged_profile(spark, shuffled_joins):
+def exchanges(plan):
+    """Shuffles in the final plan, without the initial plan below it."""
+    return len(re.findall(r"Exchange hashpartitioning", plan.split("Initial Plan")[0]))
+
+
+@pytest.mark.parametrize("staged", [False, True])
+def test_a_hot_key_is_split_against_a_profile(spark, shuffled_joins, staged):
     entities = hot(spark, 20_000)
     children = spark.range(0, 60_000).select((F.col("id") % 20_000).alias("ref"), "id")
-    profile = stage(match_profile(children, "ref", id="id"), "profile").table
+    profile = match_profile(children, "ref", id="id", score=F.lit(1))
+    if staged:
+        profile = stage(profile, "profile").table
     top = top_by_matches(entities, profile, 5, key="key")
     assert "skew=true" in final_plan(top)
     assert [r.num_reviews for r in top.collect()] == [3] * 5
     areas = entities.withColumn("area", F.substring("name", 1, 1))
-    ones = match_profile(children, "ref", score=F.lit(1))
-    groups = score_by_group(areas, ones, key="key", group="area")
-    assert groups.agg(F.sum("review_count")).first()[0] == 60_000
+    groups = score_by_group(areas, profile, key="key", group="area")
+    plan = final_plan(groups)
+    assert "skew=true" in plan and groups.agg(F.sum("review_count")).first()[0] == 60_000
+    # Entities once, profile once, partial sums; for the unstaged profile its own, too.
+    assert exchanges(plan) == (3 if staged else 4)
+    lengths = length_by_entity(
+        entities, match_profile(children, "ref", id="id", text="id"), 0, key="key"
+    )
+    assert "skew=true" in final_plan(lengths)
+    left = without_match(entities, profile, key="key", match_key="ref", distinct=True)
+    plan = final_plan(left)
+    assert exchanges(plan) == (2 if staged else 3) and left.count() == 0
+
+
+def test_a_hot_listing_is_split_in_sql(spark, shuffled_joins):
+    listings = hot(spark, 20_000).withColumnRenamed("key", "id")
+    reviews = spark.range(0, 60_000).select(
+        (F.col("id") % 20_000).alias("listing_id"), "id", F.lit("xy").alias("comments")
+    )
+    result = sql_over(spark, TEXT_LENGTH, {"listings": listings, "reviews": reviews}, {"min_reviews": 1})
+    assert "skew=true" in final_plan(result)
+    assert result.agg(F.sum("reviews_count")).first()[0] == 60_000
 
 
 def test_a_hot_value_is_split_when_ranks_are_looked_up(spark, shuffled_joins):
     rows = hot(spark, 20_000).withColumn("v", F.col("key").cast("double")).drop("key")
-    ranked = with_rank(rows, "v", "r", window_rows=0, bucket_rows=500)
+    ranked = with_rank(rows, "v", "r")
     assert "skew=true" in final_plan(ranked)
     assert ranked.agg(F.count("*"), F.max("r")).first() == (20_000, 10_000)
 
 
+def test_rank_runs_no_job_before_it_is_asked(spark):
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup())
+    with_rank(spark.range(1000), "id", "r")
+    assert len(tracker.getJobIdsForGroup()) == before
+
+
 def test_children_are_reduced_before_the_shuffle(spark, shuffled_joins):
     children = hot(spark, 20_000)
     entities = spark.range(1, 50).select(F.col("id"), F.lit("e").alias("name"))

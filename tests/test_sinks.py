@@ -3,7 +3,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from hearthline.sinks import shared_folder, stage, unstage, write_table
+from hearthline.sinks import shared_folder, stage, staging, unstage, write_table
 
 
 @pytest.fixture
@@ -16,7 +16,7 @@ def files(path, pattern="part-*.parquet"):
     return list(Path(path).rglob(pattern))
 
 
-@pytest.mark.parametrize("how", [{}, {"rebalance": True}, {"partitions": 3}])
+@pytest.mark.parametrize("how", [{}, {"rebalance": True}, {"rebalance": False}, {"partitions": 3}])
 @pytest.mark.parametrize("partition_by", [None, "band"])
 def test_rows_are_counted_and_read_back(spark, folder, banded, how, partition_by):
     path = f"{folder}/t"
@@ -33,8 +33,11 @@ def test_file_counts(folder, banded):
     assert len(files(f"{folder}/own")) == 5
     write_table(banded, f"{folder}/three", partitions=3)
     assert len(files(f"{folder}/three")) == 3
-    write_table(banded, f"{folder}/even", partition_by="band", rebalance=True)
+    many = banded.repartition(40)
+    write_table(many, f"{folder}/even", partition_by="band")
     assert len(files(f"{folder}/even")) == 3
+    write_table(many, f"{folder}/uneven", partition_by="band", rebalance=False)
+    assert len(files(f"{folder}/uneven")) > 40
 
 
 def test_overwrite_replaces_the_whole_table(spark, folder, banded):
@@ -69,7 +72,7 @@ def test_stage_uses_the_shared_folder(spark, banded):
     after = set(Path(shared_folder(spark).removeprefix("file:")).glob("bands-*"))
     assert len(after - before) == 1
     assert staged.table.dtypes == banded.dtypes
-    unstage(staged)
+    unstage(spark, staged.path)
     assert not Path(staged.path.removeprefix("file:")).exists()
     assert before <= set(Path(shared_folder(spark).removeprefix("file:")).glob("bands-*"))
 
@@ -99,4 +102,17 @@ def test_shared_folder_is_the_configured_one():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(Session("spark://x"))
     local = Session("local[2]")
-    assert Path(shared_folder(local)).is_dir() and shared_folder(local) == local.current
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(local)
+    assert local.current is None
+
+
+def test_staging_deletes_its_files(spark, banded):
+    shared = Path(shared_folder(spark).removeprefix("file:"))
+    with staging(spark) as stage_here:
+        table = stage_here(banded, "here").table
+        assert table.count() == 1000 and list(shared.glob("here-*"))
+    assert not list(shared.glob("here-*"))
+    with pytest.raises(Exception), staging(spark) as stage_here:
+        stage_here(banded.select(F.raise_error(F.lit("no"))), "here")
+    assert not list(shared.glob("here-*"))
