@@ -1,5 +1,6 @@
 """The registered queries of this subpackage and their DuckDB oracles."""
 
+import corpus_pipeline
 from llm import (
     content_sort_dedup,
     grouped_packing,
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_metric_tree": metric_tree.op8_metric_tree,
     "op9_warc_index": warc_index.op9_warc_index,
     "op10_language_id": language_id.op10_language_id,
+    "pipeline": corpus_pipeline.run,
 }
 
 # Where SQL can't express a query, tests/llm holds it against brute force.
