@@ -22,6 +22,7 @@ DAMPING = 0.25
 DRAWS = 1 << 13  # rows of random numbers that shingles share
 ROUGH = 0.68  # estimate that a pair needs to be verified; two deviations below LEAST
 BLOCK = 2048  # rows of a block of bucket members
+FORESTS = 4  # of each bucket, without a common edge, whose pairs are verified
 
 _random = np.random.default_rng(6)
 _gamma_r = _random.gamma(2, 1, (DRAWS, HASHES)).astype(np.float32)
@@ -270,13 +271,50 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         labels = labels.select("node", "class")
 
 
-def across(members: DataFrame) -> DataFrame:
-    """Candidate pairs between classes: each node with its closest in any other class.
+def agreeing(sketch: np.ndarray) -> np.ndarray:
+    """How many samples each two rows share."""
+    n = len(sketch)
+    if n <= 48:
+        return (sketch[:, None, :] == sketch[None, :, :]).sum(2, dtype=np.uint8)
+    out = np.zeros((n, n), np.uint8)
+    for column in np.ascontiguousarray(sketch.T):
+        out += column[:, None] == column[None, :]
+    return out
+
+
+def forest(score: np.ndarray, label: np.ndarray) -> list[tuple[int, int]]:
+    """Best edges that join the classes of rows; ``score`` is 0 where none may be.
+
+    Every class takes its best edge to another, and so on, until no class has one left.
+    """
+    _, part = np.unique(label, return_inverse=True)
+    edges = []
+    while True:
+        open_score = np.where(part[:, None] == part[None, :], 0, score)
+        best = open_score.argmax(1)
+        value = open_score[np.arange(len(best)), best]
+        order = np.lexsort((value, part))
+        last = order[np.r_[part[order][1:] != part[order][:-1], True]]  # the best row of a class
+        last = last[value[last] > 0]
+        if not len(last):
+            return edges
+        for i in last.tolist():
+            j = int(best[i])
+            if part[i] != part[j]:
+                edges.append((i, j))
+                part[part == part[i]] = part[j]
+
 
-    ``members`` is ``band, key, class, node, sketch``. Rows sorted by bucket and class
-    are cut into blocks of ``BLOCK`` rows. A bucket that spans several blocks sends the
-    rows of its classes that lie within one block to its other blocks, too; the rows of
-    larger classes stay where they are.
+def across(members: DataFrame) -> DataFrame:
+    """Candidate pairs between classes: in each bucket forests of the best estimates.
+
+    A forest joins all classes that any estimate joins, so its pairs are at most as many as
+    the bucket's rows; several forests without a common edge make up for estimates whose
+    pair turns out less similar. ``members`` is ``band, key, class, node, sketch, tested``;
+    the last lists nodes that a node was tested with. Rows sorted by bucket and class are cut into blocks of
+    ``BLOCK`` rows. A bucket that spans several blocks sends the rows of its classes that
+    lie within one block to its other blocks, too; the rows of larger classes stay where
+    they are.
     """
     keys = ["band", "key", "class", "node"]
     placed = prefix_sums(members, keys, "_place", None, "bucket-members")
@@ -296,43 +334,51 @@ def across(members: DataFrame) -> DataFrame:
         placed.join(small, ["band", "key", "class"])
         .withColumn("at", F.explode(F.sequence("first", "last")))
         .filter("at <> block")
-        .select("band", "key", "class", "node", "sketch", F.col("at").alias("block"), F.lit(False).alias("home"))
+        .withColumns({"block": F.col("at"), "home": F.lit(False)})
+        .select(*placed.columns, "home")
     )
     dealt = placed.withColumn("home", F.lit(True)).unionByName(copies)
+    rough = int(np.ceil(ROUGH * HASHES))
 
     def compare(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("band", "ascending"), ("key", "ascending"), ("class", "ascending"), ("node", "ascending")])
+        table = table.sort_by([(c, "ascending") for c in ("band", "key", "class", "node")])
         band, key, label, node = (table[c].to_numpy() for c in ("band", "key", "class", "node"))
         home = table["home"].to_numpy(zero_copy_only=False)
+        tested = table["tested"].to_pylist()
         sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, HASHES)
         starts = np.flatnonzero(np.r_[True, (band[1:] != band[:-1]) | (key[1:] != key[:-1])])
-        found: dict[tuple, tuple] = {}
+        pairs = set()
         for a, b in zip(starts, np.r_[starts[1:], len(node)]):
             if label[a] == label[b - 1]:
                 continue
+            score = agreeing(sketch[a:b])
+            score[score < rough] = 0
+            score[~(home[a:b, None] | home[None, a:b])] = 0
             for i in range(a, b):
-                others = slice(a, b)
-                same = (sketch[others] == sketch[i]).mean(1)
-                ok = (same >= ROUGH) & (label[others] != label[i]) & (home[i] | home[others])
-                for j in np.flatnonzero(ok) + a:
-                    name, score = (int(node[i]), int(label[j])), (float(same[j - a]), -int(node[j]))
-                    if name not in found or found[name] < score:
-                        found[name] = score
-        pairs = sorted({(min(i, -n), max(i, -n)) for (i, _), (_, n) in found.items()})
-        left, right = zip(*pairs) if pairs else ([], [])
+                if tested[i]:
+                    score[i - a, np.isin(node[a:b], tested[i])] = 0
+                    score[np.isin(node[a:b], tested[i]), i - a] = 0
+            for _ in range(FORESTS):
+                edges = forest(score, label[a:b])
+                for i, j in edges:
+                    pairs.add((int(node[a + i]), int(node[a + j])))
+                    score[i, j] = score[j, i] = 0
+                if not edges:
+                    break
+        left, right = zip(*sorted(pairs)) if pairs else ([], [])
         return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
 
     return dealt.groupBy("block").applyInArrow(compare, "a long, b long").distinct()
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
-    """``doc_id, class_id, kept`` for each row of ``docs``.
+    """``doc_id, class_id, kept, sha`` for each row of ``docs``.
 
     ``class_id`` is the smallest id among documents linked by similarity, ``kept`` marks
     that document. Equal texts are one node. Nodes that share a band with others are
-    verified on whole texts: first with the central node of their buckets, then each
-    class's nodes with the closest of every other class they meet. Links are kept, not
-    counted, so classes are whole. Texts without words are alike only if equal; a null
+    verified on whole texts: first with the central node of their buckets; then
+    along forests of the best estimates between the classes of each bucket. No bucket is
+    too large. Texts without words are alike only if equal; a null
     text is empty; null ids are smaller than others only where no other is there; rows
     that repeat an id are documents of their own; an empty table gives no rows.
     """
@@ -363,21 +409,28 @@ def near_classes(docs: DataFrame) -> DataFrame:
     pivots = met.join(central(members), ["band", "key"]).filter("node <> pivot")
     often = pivots.groupBy("node", "pivot").agg(F.count(F.lit(1)).alias("n"))
     first = often.groupBy("node").agg(F.max_by("pivot", F.struct("n", -F.col("pivot"))).alias("pivot"))
-    links = staged(verified(first.toDF("a", "b"), texts, weights), "links")
-    classes = components(links, "central")
-
+    pairs = staged(first.toDF("a", "b"), "central-pairs")
+    links = staged(verified(pairs, texts, weights), "links")
     own = F.coalesce("class", "node").alias("class")
-    labelled = members.join(classes, "node", "left").select("band", "key", own, "node", "sketch")
-    more = staged(verified(across(staged(labelled, "labelled")), texts, weights), "more-links")
+    # Kept with the node that looked for a partner, not with a partner of many.
+    tested = pairs.groupBy(F.col("a").alias("node")).agg(F.collect_set("b").alias("tested"))
+    labelled = (
+        members.join(components(links, "central"), "node", "left")
+        .join(tested, "node", "left")
+        .select("band", "key", own, "node", "sketch", "tested")
+    )
+    pairs = staged(across(staged(labelled, "labelled")), "pairs")
+    more = staged(verified(pairs, texts, weights), "more-links")
     classes = components(links.union(more), "all")
 
     named = nodes.select("sha", "node", "least").join(classes, "node", "left").select("sha", own, "least")
     ids = named.groupBy("class").agg(F.min("least").alias("class_id"))
     ids = named.join(ids, "class").select("sha", "class_id")
     return sigs.select("doc_id", "sha").join(ids, "sha").select(
-        "doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept")
+        "doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"), "sha"
     )
 
 
 def op6_weighted_minhash(spark, sf_dir: str) -> DataFrame:
-    return near_classes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    classes = near_classes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return classes.select("doc_id", "class_id", "kept")
