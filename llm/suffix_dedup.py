@@ -17,9 +17,10 @@ from llm.common import pick, staged, width
 LENGTH = 50  # bytes of a string that counts as repeated
 TOKEN = 16  # leading bytes of a sampled suffix: two words of 8
 SPAN = LENGTH - TOKEN + 1  # suffixes in a string, of which one is sampled
-PIECE = 1 << 20  # bytes hashed at a time
-FLUSH = 12 << 20  # bytes whose suffixes a task gathers before it deals them out
+PIECE = 1 << 18  # bytes hashed at a time
+FLUSH = 6 << 20  # bytes whose suffixes a task gathers before it deals them out
 BUCKET = 8 << 20  # bytes of text whose suffixes, or whose documents, meet in a task
+ROWS = 2500  # documents that a task compresses at a time
 SAMPLED = 2000  # suffixes of a task that the splitters are chosen from, at most
 NULL = np.iinfo(np.int64).min  # stands for a null id: smaller than all others
 
@@ -440,10 +441,8 @@ def text_blobs(rows: DataFrame, buckets: int) -> DataFrame:
     """All texts, compressed, by the documents' buckets."""
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = list(texts_of([batch]))
-            if not texts:
-                continue
+        for part in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
+            texts = list(texts_of([part]))
             docs = np.empty(len(texts), DOC)
             docs["doc"] = [d for d, _ in texts]
             docs["crc"] = [zlib.crc32(raw) for _, raw in texts]
@@ -575,12 +574,19 @@ def compared_strings(strips: DataFrame, ranges: int) -> DataFrame:
         some = np.flatnonzero(met[key] > 1)
         if not len(some):
             return
-        count = rows["count"][some].astype(np.int64)
-        strip = np.repeat(some, count)
-        inside = np.arange(len(strip)) - np.repeat(np.cumsum(count) - count, count)
-        at = begin[strip] + inside
-        word, doc = words(b), table["doc"][rows["of"][strip]]
-        keys = [word[at + shift] for shift in (0, 8, 16, 24, 32, 40, LENGTH - 8)]
+        strip, inside, keys = [], [], []
+        for i in range(0, len(some), 8192):  # the words of a piece of the texts at a time
+            part = some[i : i + 8192]
+            count = rows["count"][part].astype(np.int64)
+            size = count + LENGTH - 1
+            word = words(gathered(b, begin[part], size))
+            place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            at = np.repeat(np.cumsum(size) - size, count) + place
+            strip.append(np.repeat(part, count))
+            inside.append(place)
+            keys.append([word[at + shift] for shift in (0, 8, 16, 24, 32, 40, LENGTH - 8)])
+        strip, inside = np.concatenate(strip), np.concatenate(inside)
+        keys, doc = [np.concatenate(k) for k in zip(*keys)], table["doc"][rows["of"][strip]]
         order = multikey_order(*keys, doc)
         new = np.zeros(len(order), bool)
         new[0] = True
