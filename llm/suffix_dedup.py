@@ -17,6 +17,7 @@ from llm.common import pick, staged, width
 LENGTH = 50  # bytes of a string that counts as repeated
 TOKEN = 16  # leading bytes of a sampled suffix: two words of 8
 SPAN = LENGTH - TOKEN + 1  # suffixes in a string, of which one is sampled
+SIDE = (LENGTH - TOKEN) // 2
 PIECE = 1 << 18  # bytes hashed at a time
 FLUSH = 6 << 20  # bytes whose suffixes a task gathers before it deals them out
 BUCKET = 8 << 20  # bytes of text whose suffixes, or whose documents, meet in a task
@@ -32,9 +33,12 @@ _base2 = np.uint64(0xD1342543DE82EF95)
 ENTRY = np.dtype(
     [("doc", "<i8"), ("crc", "<u4"), ("start", "<u4"), ("count", "u1"), ("sample", "u1"), ("open", "u1")]
 )
-# A sampled suffix; ``of`` is its document's place in the blob's table of documents.
+# A sampled suffix; ``of`` is its document's place in the blob's table of documents, ``before``
+# and ``after`` a byte of a hash of the SIDE bytes next to its token, one of which each string of
+# its segment holds.
 SUFFIX = np.dtype(
-    [("lead", "<u8"), ("tail", "<u8"), ("low", "<u4"), ("high", "<u2"), ("of", "<u4"), ("start", "<u4"), ("count", "u1"), ("sample", "u1")]
+    [("lead", "<u8"), ("tail", "<u8"), ("low", "<u4"), ("high", "<u2"), ("of", "<u4"), ("start", "<u4")]
+    + [(name, "u1") for name in ("count", "sample", "before", "after")]
 )
 DOC = np.dtype([("doc", "<i8"), ("crc", "<u4")])
 # ``sample``: where the sampled suffix starts, from ``start``; ``strip``: which of STRIPS.
@@ -44,10 +48,6 @@ STRIP = np.dtype([("of", "<u4"), ("start", "<u4"), ("count", "u1"), ("sample", "
 STRIPS = ((0, 4), (4, 9), (9, 17), (17, SPAN))
 
 ROUTED = "bucket int, blob binary"
-SUFFIX_OUT = (
-    "bucket int, blob binary, lead long, tail long, segment long, doc long, crc long, start long,"
-    " count int, sample int"
-)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -108,7 +108,7 @@ def words(b: np.ndarray) -> np.ndarray:
 
 
 def sampled_suffixes(b: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, ...]:
-    """``lead, tail, segment, place, start, count`` for texts joined in ``b``.
+    """``lead, tail, segment, place, start, count, before, after`` for texts joined in ``b``.
 
     ``docs`` holds where each text ends. Of the suffixes that start in a string of
     ``LENGTH`` bytes (and leave a token in it) the one whose token has the least hash is
@@ -118,7 +118,7 @@ def sampled_suffixes(b: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, ...]:
     n = len(b) - LENGTH + 1
     empty = np.zeros(0, np.int64)
     if n <= 0:
-        return (empty,) * 6
+        return (empty,) * 8
     word = words(b)
     lead, tail = word[: len(word) - 8], word[8:]
     value = mixed(lead * _base ^ tail)
@@ -138,13 +138,17 @@ def sampled_suffixes(b: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, ...]:
     np.add.at(fits, docs[long] - LENGTH + 1, -1)
     at = np.flatnonzero(np.cumsum(fits)[:n])
     if not len(at):
-        return (empty,) * 6
+        return (empty,) * 8
     found = place[at]
     first = np.flatnonzero(np.r_[True, (found[1:] != found[:-1]) | (at[1:] != at[:-1] + 1)])
     start, count = at[first], np.diff(np.r_[first, len(at)])
     a = found[first]
-    segment = Hasher(b, _base).of(start, start + count + LENGTH - 1)
-    return lead[a], tail[a], segment, a, start, count
+    hasher = Hasher(b, _base)
+    segment = hasher.of(start, start + count + LENGTH - 1)
+    # Where no string of the segment holds a side, its hash is never looked at.
+    before = hasher.of(np.maximum(a - SIDE, 0), a)
+    after = hasher.of(a + TOKEN, np.minimum(a + TOKEN + SIDE, len(b)))
+    return lead[a], tail[a], segment, a, start, count, before, after
 
 
 def pieces(texts: Iterator[tuple]) -> Iterator[tuple]:
@@ -205,11 +209,12 @@ def texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 def suffixes(texts: Iterator[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Sampled suffixes, and the documents that they name by place."""
     for b, ends, doc, crc, shift in pieces(texts):
-        lead, tail, segment, place, start, count = sampled_suffixes(b, ends)
+        lead, tail, segment, place, start, count, before, after = sampled_suffixes(b, ends)
         of = np.searchsorted(ends, start, "right")
         out, table = np.empty(len(start), SUFFIX), np.empty(len(doc), DOC)
         begin = np.r_[0, ends[:-1]]
         out["lead"], out["tail"], out["count"] = lead, tail, count
+        out["before"], out["after"] = before.astype(np.uint8), after.astype(np.uint8)
         segment = segment.astype(np.uint64)
         out["low"], out["high"] = segment & np.uint64(0xFFFFFFFF), segment >> np.uint64(48)
         out["of"], out["start"], out["sample"] = of, start - begin[of] + shift[of], place - start
@@ -364,9 +369,10 @@ def sorted_suffixes(dealt: DataFrame, ranges: int) -> DataFrame:
     """What the sorted neighbours of each range decide, sent to the documents' buckets.
 
     Suffixes with one token are neighbours. A segment that a smaller document has, too, is
-    repeated as a whole. If a token has several segments, their strings may still be the
-    same in part: the segments' first documents stay open. The first and last token of a
-    range may go on across the boundary; their rows are given out as they are.
+    repeated as a whole. If another segment of the token has the same bytes on one side,
+    their strings may be the same in part: the segment's first documents stay open. The
+    first and last token of a range may go on across the boundary; there they stay open in
+    any case, and their strings are compared across ranges afterwards.
     """
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -391,50 +397,24 @@ def sorted_suffixes(dealt: DataFrame, ranges: int) -> DataFrame:
         token, at = np.cumsum(new_token) - 1, np.cumsum(new_segment) - 1
         first = np.flatnonzero(new_segment)
         repeated = doc > doc[first][at]
-        several = np.bincount(token[first])[token] > 1
+        several = np.flatnonzero(np.bincount(token[first])[token[first]] > 1)  # segments
+        offset = rows["sample"][first].astype(np.int64)  # of the token in the first string
+        shared = np.zeros(len(first), bool)
+        for side, holds in (("before", offset >= SIDE), ("after", offset - rows["count"][first] < SIDE)):
+            some = several[holds[several]]
+            key = token[first[some]] * 256 + rows[side][first[some]]
+            _, of, met = np.unique(key, return_inverse=True, return_counts=True)
+            shared[some] |= met[of] > 1
         edge = (token == 0) | (token == token[-1])
-        keep = np.flatnonzero((repeated | several) & ~edge)
+        keep = np.flatnonzero(repeated | shared[at] | edge)
         entries = np.empty(len(keep), ENTRY)
         for name in ("start", "count", "sample"):
             entries[name] = rows[name][keep]
         entries["doc"], entries["crc"] = doc[keep], table["crc"][rows["of"][keep]]
         entries["open"] = ~repeated[keep]
-        names = [f.split()[0] for f in SUFFIX_OUT.split(", ")]
-        kinds = [pa.int32(), pa.binary()] + [pa.int64()] * 6 + [pa.int32()] * 2
-        out = [(b, blob) + (None,) * 8 for b, blob in sent_home(entries, ranges)]
-        for i in np.flatnonzero(edge):
-            r = rows[i]
-            words = [int(np.int64(np.uint64(x).view(np.int64))) for x in (r["lead"], r["tail"], segment[i])]
-            out.append((None, None, *words, int(doc[i]), int(table["crc"][r["of"]]), int(r["start"]), int(r["count"]), int(r["sample"])))
-        for at in range(0, len(out), 10_000):
-            yield batch_of(names, out[at : at + 10_000], kinds)
-
-    return dealt.repartitionById(ranges, F.col("bucket")).mapInArrow(sort, SUFFIX_OUT)
-
-
-def across_boundaries(sorted_rows: DataFrame, ranges: int) -> DataFrame:
-    """The same decisions for the tokens at the ends of ranges, by joins of partial sums."""
-    edge = sorted_rows.filter(F.col("blob").isNull()).drop("bucket", "blob")
-    segments = edge.groupBy("lead", "tail", "segment").agg(F.min("doc").alias("least"))
-    segments = staged(segments, "edge-segments")
-    several = segments.groupBy("lead", "tail").agg((F.count(F.lit(1)) > 1).alias("several"))
-    decided = (
-        edge.join(segments, ["lead", "tail", "segment"])
-        .join(several, ["lead", "tail"])
-        .select("doc", "crc", "start", "count", "sample", (F.col("doc") == F.col("least")).alias("open"), "several")
-        .filter(~F.col("open") | F.col("several"))
-        .drop("several")
-    )
-
-    def home_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                entries = np.empty(batch.num_rows, ENTRY)
-                for name in ENTRY.names:
-                    entries[name] = batch[name].to_numpy(zero_copy_only=False)
-                yield routed(sent_home(entries, ranges))
+        yield routed(sent_home(entries, ranges))
 
-    return decided.mapInArrow(home_again, ROUTED)
+    return dealt.repartitionById(ranges, F.col("bucket")).mapInArrow(sort, ROUTED)
 
 
 def text_blobs(rows: DataFrame, buckets: int) -> DataFrame:
@@ -620,9 +600,7 @@ def removed_repeats(docs: DataFrame, kept: bool = False) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.encode(F.coalesce("text", F.lit("")), "utf-8").alias("text")
     )
     cuts, ranges = splitters(rows)
-    decided = staged(sorted_suffixes(dealt_suffixes(rows, cuts), ranges), "sorted-suffixes")
-    inside = decided.filter(F.col("blob").isNotNull()).select("bucket", "blob")
-    entries = staged(inside.union(across_boundaries(decided, ranges)), "entries")
+    entries = staged(sorted_suffixes(dealt_suffixes(rows, cuts), ranges), "sorted-suffixes")
     texts = text_blobs(rows, ranges)  # one shuffle, met twice in one plan
     found = compared_strings(open_strips(texts, entries, ranges), ranges)
 

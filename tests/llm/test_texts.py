@@ -125,7 +125,7 @@ def test_equal_strings_sample_equal_suffixes():
     for seed in (12, 13):
         raw = words(50, seed).encode()[: 100 + seed] + shared + words(50, seed + 5).encode()
         at = raw.index(shared)
-        _, _, _, place, start, count = suffix_dedup.sampled_suffixes(np.frombuffer(raw, np.uint8), np.array([len(raw)]))
+        _, _, _, place, start, count, *_ = suffix_dedup.sampled_suffixes(np.frombuffer(raw, np.uint8), np.array([len(raw)]))
         by_string = {p: a for a, s, c in zip(place, start, count) for p in range(s, s + c)}
         places.append([by_string[at + i] - at for i in range(len(shared) - 49)])
     assert places[0] == places[1]
