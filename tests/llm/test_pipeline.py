@@ -1,7 +1,6 @@
 from collections import Counter, defaultdict
 
 import corpus_pipeline
-import pytest
 from edges import frame, rows
 from test_more import brute_classes, check_packed
 from test_texts import by_hand
@@ -95,15 +94,3 @@ def test_the_pipeline_packs_what_the_stages_keep(spark):
 
 def test_stages_are_in_order():
     assert len(STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
-    with pytest.raises(ValueError):
-        corpus_pipeline.documents(_Columns(["doc_id"]))
-
-
-class _Columns:
-    """A frame without the columns of documents."""
-
-    def __init__(self, columns):
-        self.columns = columns
-
-    def toDF(self, *names):
-        return self
