@@ -75,8 +75,16 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def fit(x: np.ndarray, y: np.ndarray, languages: list[str], seed: int = 7) -> Model:
-    """A model of subword shares ``x`` with classes ``y``, by stochastic gradient descent.
+def dense(rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Subword shares of a few documents, given as places and values."""
+    x = np.zeros((len(rows), 1 << BITS), np.float32)
+    for i, (at, share) in enumerate(rows):
+        x[i, at] = share
+    return x
+
+
+def fit(shares: list[tuple], y: np.ndarray, languages: list[str], seed: int = 7) -> Model:
+    """A model of subword ``shares`` with classes ``y``, by stochastic gradient descent.
 
     A fifth of the rows is kept aside for calibration: the temperature with the least
     log loss, and the score that only ``REJECTED`` of them fall short of, but no more than
@@ -85,7 +93,7 @@ def fit(x: np.ndarray, y: np.ndarray, languages: list[str], seed: int = 7) -> Mo
     random, k = np.random.default_rng(seed), len(languages)
     order = random.permutation(len(y))
     aside, own = order[: len(y) // 5], order[len(y) // 5 :]
-    emb = random.uniform(-1 / WIDTH, 1 / WIDTH, (x.shape[1], WIDTH)).astype(np.float32)
+    emb = random.uniform(-1 / WIDTH, 1 / WIDTH, (1 << BITS, WIDTH)).astype(np.float32)
     out, bias = np.zeros((WIDTH, k), np.float32), np.zeros(k, np.float32)
     steps = 0
     for _ in range(EPOCHS):
@@ -93,16 +101,17 @@ def fit(x: np.ndarray, y: np.ndarray, languages: list[str], seed: int = 7) -> Mo
         for at in range(0, len(own), 32):
             rows = own[at : at + 32]
             rate = RATE * (1 - steps / (EPOCHS * (len(own) // 32 + 1)))
-            hidden = x[rows] @ emb
+            x = dense([shares[i] for i in rows])
+            hidden = x @ emb
             wrong = softmax(hidden @ out + bias)
             wrong[np.arange(len(rows)), y[rows]] -= 1
             wrong = (wrong / len(rows)).astype(np.float32)
-            emb -= rate * (x[rows].T @ (wrong @ out.T))
+            emb -= rate * (x.T @ (wrong @ out.T))
             out -= rate * (hidden.T @ wrong)
             bias -= 0.1 * wrong.sum(0)
             steps += 1
     table = emb @ out
-    z = x[aside] @ table + bias if len(aside) else np.zeros((0, k))
+    z = np.array([share @ table[at] for at, share in (shares[i] for i in aside)]).reshape(-1, k) + bias
     heats = np.geomspace(0.05, 20, 60)
     loss = [-np.log(softmax(z / t)[np.arange(len(z)), y[aside]] + 1e-12).mean() if len(z) else 0 for t in heats]
     heat = float(heats[int(np.argmin(loss))]) if len(z) else 1.0
@@ -134,7 +143,7 @@ def train(docs: DataFrame) -> Model:
     chosen = own.withColumn("place", hashed).filter(F.col("place") < share * 1_000_000)
     chosen = chosen.select("doc_id", "place", "lang", "text").limit(2 * SAMPLED * len(sizes))
 
-    def shares(batches):
+    def counted(batches):
         for batch in batches:
             rows = []
             for text in batch["text"]:
@@ -148,18 +157,20 @@ def train(docs: DataFrame) -> Model:
                 doc_id=batch["doc_id"].values, place=batch["place"].values, lang=batch["lang"].values
             )[["doc_id", "place", "lang", "at", "share"]]
 
-    sample = chosen.mapInPandas(shares, "doc_id long, place long, lang string, at binary, share binary")
+    sample = chosen.mapInPandas(counted, "doc_id long, place long, lang string, at binary, share binary")
     rows = sorted(sample.collect(), key=lambda r: (r["lang"], r["place"], r["doc_id"] or 0, bytes(r["at"])))
     taken: dict[str, list] = {}
     for r in rows:
         if len(taken.setdefault(r["lang"], [])) < SAMPLED:
             taken[r["lang"]].append(r)
     languages = sorted(taken)
-    x = np.zeros((sum(map(len, taken.values())), 1 << BITS), np.float32)
     y = np.repeat(np.arange(len(languages)), [len(taken[lang]) for lang in languages])
-    for i, r in enumerate(r for lang in languages for r in taken[lang]):
-        x[i, np.frombuffer(r["at"], np.uint16)] = np.frombuffer(r["share"], np.float32)
-    return fit(x, y, languages)
+    shares = [
+        (np.frombuffer(r["at"], np.uint16), np.frombuffer(r["share"], np.float32))
+        for lang in languages
+        for r in taken[lang]
+    ]
+    return fit(shares, y, languages)
 
 
 def predicted(text: Column, model: Model) -> Column:
