@@ -35,7 +35,7 @@ from hearthline.operators import (
 )
 from hearthline.plans import build_gold
 from hearthline.sinks import shared_folder, write_table
-from hearthline.sources import read_wide_csv
+from hearthline.sources import read_wide_csv, spread_rows
 
 try:  # the operators for training data are a part that can be left out
     from llm import registry
@@ -70,6 +70,11 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid4().hex}"
 
 
+def tasks(spark: SparkSession) -> int:
+    """Width for the costly scans: the given tables may be a single file."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 # Stand-in inputs
 
 
@@ -134,7 +139,7 @@ def supplier_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def review_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match_profile(
-        supplier_reviews(spark, sf_dir),
+        spread_rows(supplier_reviews(spark, sf_dir), tasks(spark)),
         "listing_id",
         id="id",
         text="comments",
@@ -203,7 +208,7 @@ def job(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, int]]:
         f"{folder}/listings",
         f"{folder}/reviews",
         f"{folder}/gold",
-        spread=2,
+        spread=tasks(spark),
         min_reviews=JOB_FLOOR,
         top_n=JOB_TOP,
         **CLEANING,
@@ -310,7 +315,8 @@ def without_match_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     score = lexicon_score(F.col("text"), PLUS, MINUS).cast("bigint")
-    return table(spark, sf_dir, "documents").select("doc_id", score.alias("score"))
+    documents = spread_rows(table(spark, sf_dir, "documents"), tasks(spark))
+    return documents.select("doc_id", score.alias("score"))
 
 
 def document_score_builtin(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MICRO = 1_000_000
+LIMB = 20  # low bits of a value that are summed apart, so that no sum overflows
 
 
 def within(df: DataFrame, column: str, low: float, high: float) -> DataFrame:
@@ -15,11 +16,14 @@ def exact_avg(column: str, digits: int) -> Column:
     """Average of the values to six decimals, rounded half away from zero.
 
     The sum is exact, so the result does not depend on the order of addition. Only a
-    group with a value that is not finite, or not below 10**18, has a floating average.
+    group with a value that is not finite, or not below 10**12, has a floating average.
     """
-    value = F.col(column).try_cast("decimal(24,6)")
-    n, total = F.count(value), F.sum(value)
-    units = F.abs(total * F.lit(MICRO)).cast("decimal(38,0)")
+    value = F.col(column).cast("double")
+    micro = F.when(F.abs(value) < 1e12, F.rint(value * MICRO).cast("bigint"))
+    n = F.count(micro)
+    high, low = F.sum(F.shiftright(micro, LIMB)), F.sum(micro.bitwiseAND(F.lit((1 << LIMB) - 1)))
+    total = high.cast("decimal(38,0)") * F.lit(1 << LIMB) + low
+    units = F.abs(total).cast("decimal(38,0)")
     half_up = F.call_function(
         "div", units * F.lit(2 * 10**digits) + n * F.lit(MICRO), n * F.lit(2 * MICRO)
     )
