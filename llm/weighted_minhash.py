@@ -271,14 +271,13 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         labels = labels.select("node", "class")
 
 
-def agreeing(sketch: np.ndarray) -> np.ndarray:
-    """How many samples each two rows share."""
-    n = len(sketch)
-    if n <= 48:
-        return (sketch[:, None, :] == sketch[None, :, :]).sum(2, dtype=np.uint8)
-    out = np.zeros((n, n), np.uint8)
-    for column in np.ascontiguousarray(sketch.T):
-        out += column[:, None] == column[None, :]
+def agreeing(sketch: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """How many samples each row of ``sketch`` shares with each of ``other``."""
+    if len(sketch) * len(other) <= 2304:
+        return (sketch[:, None, :] == other[None, :, :]).sum(2, dtype=np.uint8)
+    out = np.zeros((len(sketch), len(other)), np.uint8)
+    for mine, others in zip(np.ascontiguousarray(sketch.T), np.ascontiguousarray(other.T)):
+        out += mine[:, None] == others[None, :]
     return out
 
 
@@ -305,70 +304,84 @@ def forest(score: np.ndarray, label: np.ndarray) -> list[tuple[int, int]]:
                 part[part == part[i]] = part[j]
 
 
-def across(members: DataFrame) -> DataFrame:
-    """Candidate pairs between classes: in each bucket forests of the best estimates.
+def tiles(members: DataFrame) -> DataFrame:
+    """``members`` dealt out to tiles ``left, right``: every pair of blocks of a bucket.
 
-    A forest joins all classes that any estimate joins, so its pairs are at most as many as
-    the bucket's rows; several forests without a common edge make up for estimates whose
-    pair turns out less similar. ``members`` is ``band, key, class, node, sketch, tested``;
-    the last lists nodes that a node was tested with. Rows sorted by bucket and class are cut into blocks of
-    ``BLOCK`` rows. A bucket that spans several blocks sends the rows of its classes that
-    lie within one block to its other blocks, too; the rows of larger classes stay where
-    they are.
+    Rows sorted by bucket and class are cut into blocks of ``BLOCK`` rows, so a tile has at
+    most ``2 * BLOCK`` rows, and any two rows of a bucket meet in one tile, whatever the
+    size of their classes. Tiles within one class of a bucket are left out.
     """
-    keys = ["band", "key", "class", "node"]
-    placed = prefix_sums(members, keys, "_place", None, "bucket-members")
+    placed = prefix_sums(members, ["band", "key", "class", "node"], "_place", None, "bucket-members")
     placed = staged(placed.withColumn("block", F.expr(f"_place div {BLOCK}")).drop("_place"), "blocks")
-    spans = (
-        placed.groupBy("band", "key")
-        .agg(F.min("block").alias("first"), F.max("block").alias("last"))
-        .filter("first < last")
-    )
+    spans = placed.groupBy("band", "key", "block").agg(F.min("class").alias("low"), F.max("class").alias("high"))
     spans = staged(spans, "block-spans")
-    parts = placed.groupBy("band", "key", "class").agg(
-        F.min("block").alias("from"), F.max("block").alias("to")
-    )
-    small = parts.filter("from = to").join(spans, ["band", "key"]).select("band", "key", "class", "first", "last")
-    small = staged(small, "small-classes")
-    copies = (
-        placed.join(small, ["band", "key", "class"])
-        .withColumn("at", F.explode(F.sequence("first", "last")))
-        .filter("at <> block")
-        .withColumns({"block": F.col("at"), "home": F.lit(False)})
-        .select(*placed.columns, "home")
-    )
-    dealt = placed.withColumn("home", F.lit(True)).unionByName(copies)
+    left, right = (spans.toDF("band", "key", *names) for names in (("left", "low", "high"), ("right", "_low", "_high")))
+    met = left.join(right, ["band", "key"]).filter("left <= right AND least(low, _low) < greatest(high, _high)")
+    sides = F.explode(F.array_distinct(F.array("left", "right"))).alias("block")
+    return placed.join(met.select("band", "key", "left", "right", sides), ["band", "key", "block"])
+
+
+def candidates(table: pa.Table) -> Iterator[tuple]:
+    """For each bucket of a tile: its rows, their labels and the estimates of open pairs.
+
+    Estimates are a matrix over the tile's two sides, 0 for pairs below ``ROUGH``, of one
+    class, or tested; a tile of one block has it on both sides, and each pair once.
+    """
+    table = table.sort_by([(c, "ascending") for c in ("band", "key", "class", "node")])
+    band, key, label, node = (table[c].to_numpy() for c in ("band", "key", "class", "node"))
+    first = (table["block"].to_numpy() == table["left"].to_numpy())
+    one_block = table["left"][0].as_py() == table["right"][0].as_py()
+    tested = table["tested"].to_pylist()
+    sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, HASHES)
     rough = int(np.ceil(ROUGH * HASHES))
+    starts = np.flatnonzero(np.r_[True, (band[1:] != band[:-1]) | (key[1:] != key[:-1])])
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(node)]):
+        if label[a] == label[b - 1]:
+            continue
+        i = np.arange(a, b) if one_block else a + np.flatnonzero(first[a:b])
+        j = i if one_block else a + np.flatnonzero(~first[a:b])
+        score = agreeing(sketch[i], sketch[j])
+        score[score < rough] = 0
+        score[label[i][:, None] == label[j][None, :]] = 0
+        for mine, others, at in ((i, j, score), (j, i, score.T)):
+            order = np.argsort(node[others])
+            owner = np.repeat(np.arange(len(mine)), [len(tested[m] or ()) for m in mine])
+            met = np.array([n for m in mine for n in tested[m] or ()], np.int64)
+            place = np.searchsorted(node[others], met, sorter=order)
+            hit = np.flatnonzero(place < len(others))
+            hit = hit[node[others][order[place[hit]]] == met[hit]]
+            at[owner[hit], order[place[hit]]] = 0
+        yield i, j, node, label, np.triu(score) if one_block else score, table
+
+
+def across(members: DataFrame) -> DataFrame:
+    """Candidate pairs between classes: in each tile of a bucket forests of the best estimates.
+
+    A forest joins all classes that any estimate joins, so its pairs are at most as many as
+    the tile's rows; several forests without a common edge make up for estimates whose
+    pair turns out less similar. ``members`` is ``band, key, class, node, sketch, tested``;
+    the last lists nodes that a node was tested with.
+    """
 
     def compare(table: pa.Table) -> pa.Table:
-        table = table.sort_by([(c, "ascending") for c in ("band", "key", "class", "node")])
-        band, key, label, node = (table[c].to_numpy() for c in ("band", "key", "class", "node"))
-        home = table["home"].to_numpy(zero_copy_only=False)
-        tested = table["tested"].to_pylist()
-        sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, HASHES)
-        starts = np.flatnonzero(np.r_[True, (band[1:] != band[:-1]) | (key[1:] != key[:-1])])
         pairs = set()
-        for a, b in zip(starts, np.r_[starts[1:], len(node)]):
-            if label[a] == label[b - 1]:
-                continue
-            score = agreeing(sketch[a:b])
-            score[score < rough] = 0
-            score[~(home[a:b, None] | home[None, a:b])] = 0
-            for i in range(a, b):
-                if tested[i]:
-                    score[i - a, np.isin(node[a:b], tested[i])] = 0
-                    score[np.isin(node[a:b], tested[i]), i - a] = 0
+        for i, j, node, label, score, _ in candidates(table):
+            rows = np.union1d(i, j)
+            both = np.zeros((len(rows), len(rows)), np.uint8)
+            x, y = np.searchsorted(rows, i), np.searchsorted(rows, j)
+            both[np.ix_(x, y)] = score
+            both = np.maximum(both, both.T)
             for _ in range(FORESTS):
-                edges = forest(score, label[a:b])
-                for i, j in edges:
-                    pairs.add((int(node[a + i]), int(node[a + j])))
-                    score[i, j] = score[j, i] = 0
+                edges = forest(both, label[rows])
+                for m, n in edges:
+                    pairs.add((int(node[rows[m]]), int(node[rows[n]])))
+                    both[m, n] = both[n, m] = 0
                 if not edges:
                     break
         left, right = zip(*sorted(pairs)) if pairs else ([], [])
         return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
 
-    return dealt.groupBy("block").applyInArrow(compare, "a long, b long").distinct()
+    return tiles(members).groupBy("left", "right").applyInArrow(compare, "a long, b long").distinct()
 
 
 def near_classes(docs: DataFrame) -> DataFrame:

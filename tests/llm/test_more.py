@@ -1,11 +1,12 @@
 import hashlib
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from edges import frame, rows, words
 from pyspark.sql import functions as F
@@ -206,6 +207,41 @@ def test_a_bucket_over_several_blocks(spark, monkeypatch):
             assert find(label[i]) == find(label[j])
 
 
+def test_classes_over_block_ends_meet_outside_their_shared_block(spark, monkeypatch):
+    monkeypatch.setattr(weighted_minhash, "BLOCK", 8)
+    draw = np.random.default_rng(3)
+    # Classes 0 and 100 span blocks; only the first node and the last resemble each other.
+    sketches = [draw.integers(0, 256, 64).astype(np.uint8) for _ in range(44)]
+    sketches[43] = sketches[0]
+    members = [(0, 5, 0 if n < 20 else 100, n, s.tobytes(), None) for n, s in enumerate(sketches)]
+    schema = "band int, key long, class long, node long, sketch binary, tested array<long>"
+    table = spark.createDataFrame(members, schema)
+    assert {tuple(sorted(r)) for r in weighted_minhash.across(table).collect()} == {(0, 43)}
+
+
+def test_tiles_are_bounded_and_hold_every_pair_once(spark, monkeypatch):
+    monkeypatch.setattr(weighted_minhash, "BLOCK", 8)
+    shapes = []
+
+    def noted(sketch, other):
+        shapes.append((len(sketch), len(other)))
+        return (sketch[:, None, :] == other[None, :, :]).sum(2, dtype=np.uint8)
+
+    members = [(0, 5, n, n, bytes(64), None) for n in range(50)]
+    schema = "band int, key long, class long, node long, sketch binary, tested array<long>"
+    groups = defaultdict(list)
+    for r in weighted_minhash.tiles(spark.createDataFrame(members, schema)).collect():
+        groups[r["left"], r["right"]].append(r)
+    met = Counter()
+    monkeypatch.setattr(weighted_minhash, "agreeing", noted)
+    for rows_ in groups.values():
+        table = pa.Table.from_pylist([r.asDict() for r in rows_])
+        for i, j, node, _, score, _ in weighted_minhash.candidates(table):
+            met.update(tuple(sorted((int(node[i[x]]), int(node[j[y]])))) for x, y in zip(*np.nonzero(score)))
+    assert max(max(s) for s in shapes) <= 8
+    assert met == Counter(combinations(range(50), 2))
+
+
 def test_forest_takes_the_best_edges():
     score = np.array([[0, 9, 5, 0], [9, 0, 7, 0], [5, 7, 0, 0], [0, 0, 0, 0]])
     edges = {tuple(sorted(e)) for e in weighted_minhash.forest(score, np.arange(4))}
