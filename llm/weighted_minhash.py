@@ -281,17 +281,19 @@ def agreeing(sketch: np.ndarray, other: np.ndarray) -> np.ndarray:
     return out
 
 
-def forest(score: np.ndarray, label: np.ndarray) -> list[tuple[int, int]]:
+def forest(score: np.ndarray, label: np.ndarray, other: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Best edges that join the classes of rows; ``score`` is 0 where none may be.
 
     Every class takes its best edge to another, and so on, until no class has one left.
+    ``label`` are the classes of the rows, ``other`` those of the columns, if they differ.
     """
-    _, part = np.unique(label, return_inverse=True)
+    n = len(label)
+    _, part = np.unique(np.r_[label, label if other is None else other], return_inverse=True)
     edges = []
     while True:
-        open_score = np.where(part[:, None] == part[None, :], 0, score)
-        best = open_score.argmax(1)
-        value = open_score[np.arange(len(best)), best]
+        open_score = np.where(part[:n, None] == part[None, n:], 0, score)
+        best = np.r_[n + open_score.argmax(1), open_score.argmax(0)]
+        value = np.r_[open_score.max(1), open_score.max(0)]
         order = np.lexsort((value, part))
         last = order[np.r_[part[order][1:] != part[order][:-1], True]]  # the best row of a class
         last = last[value[last] > 0]
@@ -300,7 +302,7 @@ def forest(score: np.ndarray, label: np.ndarray) -> list[tuple[int, int]]:
         for i in last.tolist():
             j = int(best[i])
             if part[i] != part[j]:
-                edges.append((i, j))
+                edges.append((i, j - n) if i < n else (j, i - n))
                 part[part == part[i]] = part[j]
 
 
@@ -366,16 +368,11 @@ def across(members: DataFrame) -> DataFrame:
     def compare(table: pa.Table) -> pa.Table:
         pairs = set()
         for i, j, node, label, score, _ in candidates(table):
-            rows = np.union1d(i, j)
-            both = np.zeros((len(rows), len(rows)), np.uint8)
-            x, y = np.searchsorted(rows, i), np.searchsorted(rows, j)
-            both[np.ix_(x, y)] = score
-            both = np.maximum(both, both.T)
             for _ in range(FORESTS):
-                edges = forest(both, label[rows])
+                edges = forest(score, label[i], label[j])
                 for m, n in edges:
-                    pairs.add((int(node[rows[m]]), int(node[rows[n]])))
-                    both[m, n] = both[n, m] = 0
+                    pairs.add((int(node[i[m]]), int(node[j[n]])))
+                    score[m, n] = 0
                 if not edges:
                     break
         left, right = zip(*sorted(pairs)) if pairs else ([], [])

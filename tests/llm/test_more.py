@@ -219,6 +219,12 @@ def test_classes_over_block_ends_meet_outside_their_shared_block(spark, monkeypa
     assert {tuple(sorted(r)) for r in weighted_minhash.across(table).collect()} == {(0, 43)}
 
 
+def test_forest_of_two_sides():
+    score = np.array([[9, 0, 3], [8, 0, 4]], np.uint8)
+    edges = set(weighted_minhash.forest(score, np.array([1, 2]), np.array([3, 4, 2])))
+    assert edges == {(0, 0), (1, 0)}  # row 1 and column 2 are one class
+
+
 def test_tiles_are_bounded_and_hold_every_pair_once(spark, monkeypatch):
     monkeypatch.setattr(weighted_minhash, "BLOCK", 8)
     shapes = []
