@@ -20,9 +20,10 @@ TABLE = 1 << 18  # counters of the hashed document frequencies
 SLICES = 64  # of the counters, summed apart
 DAMPING = 0.25
 DRAWS = 1 << 13  # rows of random numbers that shingles share
-ROUGH = 0.68  # estimate that a pair needs to be verified; two deviations below LEAST
+ROUGH = 0.6  # estimate that a pair needs to be verified; misses 1 in 7,800 at LEAST, the bands 1 in 4,600
 BLOCK = 2048  # rows of a block of bucket members
-FORESTS = 4  # of each bucket, without a common edge, whose pairs are verified
+FORESTS = 4  # of each tile, without a common edge, whose pairs are verified before all others
+CHUNK = 128  # nodes whose texts meet those of another chunk in one task
 
 _random = np.random.default_rng(6)
 _gamma_r = _random.gamma(2, 1, (DRAWS, HASHES)).astype(np.float32)
@@ -381,14 +382,139 @@ def across(members: DataFrame) -> DataFrame:
     return tiles(members).groupBy("left", "right").applyInArrow(compare, "a long, b long").distinct()
 
 
+def remaining(members: DataFrame) -> DataFrame:
+    """All candidate pairs between classes: ``one, two, a, b``, lists for two chunks of nodes.
+
+    ``members`` has a column ``chunk`` more than for ``across``. Nothing is capped; the pairs
+    of a tile are at most ``BLOCK`` times ``BLOCK``.
+    """
+
+    def compare(table: pa.Table) -> pa.Table:
+        found = []
+        for i, j, node, _, score, ordered in candidates(table):
+            chunk = ordered["chunk"].to_numpy()
+            x, y = np.nonzero(score)
+            a, b = i[x], j[y]
+            swap = (chunk[a] > chunk[b]) | ((chunk[a] == chunk[b]) & (node[a] > node[b]))
+            a, b = np.where(swap, b, a), np.where(swap, a, b)
+            found.append(np.stack([chunk[a], chunk[b], node[a], node[b]]))
+        one, two, a, b = np.concatenate([np.zeros((4, 0), np.int64), *found], 1)
+        order = np.lexsort((two, one))
+        one, two, a, b = one[order], two[order], a[order], b[order]
+        new = np.flatnonzero(np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])][: len(one)])
+        ends = pa.array(np.r_[new, len(one)].astype(np.int32))
+        lists = [pa.ListArray.from_arrays(ends, pa.array(x, pa.int64())) for x in (a, b)]
+        return pa.table({"one": pa.array(one[new]), "two": pa.array(two[new]), "a": lists[0], "b": lists[1]})
+
+    schema = "one long, two long, a array<long>, b array<long>"
+    return tiles(members).groupBy("left", "right").applyInArrow(compare, schema)
+
+
+def links_in(nodes: list[tuple], a: np.ndarray, b: np.ndarray, weights: Weights) -> list[tuple[int, int]]:
+    """Verified pairs of nodes ``node, class, text`` that join their classes.
+
+    Each of the pairs ``a, b`` is verified, unless those before have joined its classes.
+    """
+    nodes = sorted(nodes)
+    name = np.array([n for n, _, _ in nodes], np.int64)
+    part = np.unique([c for _, c, _ in nodes], return_inverse=True)[1]
+    sets = [shingles(text) for _, _, text in nodes]
+    ends = np.cumsum([0] + [len(h) for h, _ in sets])
+    all_hashes = np.concatenate([h for h, _ in sets])
+    weight = weights.of(all_hashes, np.concatenate([c for _, c in sets])).astype(float)
+    distinct, place = np.unique(all_hashes, return_inverse=True)
+    total = np.array([weight[s:e].sum() for s, e in zip(ends, ends[1:])])
+    pairs = np.unique(np.stack([np.searchsorted(name, a), np.searchsorted(name, b)]), axis=1)
+    # The shared weight is at most the lesser total.
+    ratio = total[pairs].min(0) / total[pairs].max(0)
+    pairs = pairs[:, ratio >= LEAST - 1e-9]
+    mine, found = np.zeros(len(distinct)), []
+    for i, at in zip(*np.unique(pairs[0], return_index=True)):
+        others = pairs[1, at : np.searchsorted(pairs[0], i, "right")]
+        own = slice(ends[i], ends[i + 1])
+        mine[place[own]] = weight[own]
+        step = 1
+        while len(others := others[part[others] != part[i]]):
+            now, others = others[:step], others[step:]
+            step *= 2
+            size = ends[now + 1] - ends[now]
+            first = np.cumsum(size) - size
+            flat = np.repeat(ends[now] - first, size) + np.arange(size.sum())
+            shared = np.add.reduceat(np.minimum(weight[flat], mine[place[flat]]), first)
+            alike = shared / (total[i] + total[now] - shared)
+            for j, value in zip(now.tolist(), alike.tolist()):
+                if abs(value - LEAST) < 1e-9:  # sums in another order
+                    value = similarity(sets[i], sets[j], weights)
+                if value >= LEAST and part[i] != part[j]:
+                    found.append((int(name[i]), int(name[j])))
+                    part[part == part[j]] = part[i]
+        mine[place[own]] = 0
+    return found
+
+
+def settled(pairs: DataFrame, homes: DataFrame, texts: DataFrame, weights) -> DataFrame:
+    """``a, b``: links among all ``pairs`` of ``remaining``, as far as they join classes.
+
+    Texts come once for two chunks, not once a pair; ``homes`` is ``node, class, chunk``.
+    """
+    both = F.explode(F.array_union("a", "b")).alias("node")
+    asked = pairs.select("one", "two", both).distinct()
+    read = asked.join(homes.select("node", "class"), "node").join(texts, "node")
+    lists = pairs.select("one", "two", *(F.lit(None).cast(t).alias(c) for c, t in (("node", "long"), ("class", "long"), ("text", "string"))), "a", "b")
+    none = F.lit(None).cast("array<long>")
+    rows = read.select("one", "two", "node", "class", "text", none.alias("a"), none.alias("b")).union(lists)
+    rows = rows.repartition("one", "two").sortWithinPartitions("one", "two")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w, at, nodes, a, b = weights.value, None, [], [], []
+
+        def judged() -> pa.RecordBatch:
+            links = links_in(nodes, np.concatenate(a), np.concatenate(b), w)
+            left, right = zip(*links) if links else ([], [])
+            return pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
+
+        for batch in batches:
+            for one, two, node, label, text, left, right in zip(*batch.columns):
+                if at != (one.as_py(), two.as_py()):
+                    if nodes:
+                        yield judged()
+                    at, nodes, a, b = (one.as_py(), two.as_py()), [], [], []
+                if node.is_valid:
+                    nodes.append((node.as_py(), label.as_py(), text.as_py()))
+                else:
+                    a.append(left.values.to_numpy())
+                    b.append(right.values.to_numpy())
+        if nodes:
+            yield judged()
+
+    return rows.mapInArrow(verify, "a long, b long")
+
+
+def chunked(members: DataFrame) -> DataFrame:
+    """``node, class, chunk``: nodes that share their largest bucket lie in the same chunks."""
+    sizes = members.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"))
+    bucket = F.max_by(F.struct("band", "key"), F.struct("n", "band", "key")).alias("home")
+    homes = members.join(sizes, ["band", "key"]).groupBy("node", "class").agg(bucket)
+    homes = homes.select("home.band", "home.key", "class", "node")
+    placed = prefix_sums(homes, ["band", "key", "class", "node"], "_place", None, "homes")
+    return placed.select("node", "class", F.expr(f"_place div {CHUNK}").alias("chunk"))
+
+
+def between(members: DataFrame) -> DataFrame:
+    """The ``members`` of buckets with several classes."""
+    spread = members.groupBy("band", "key").agg(F.min("class").alias("_low"), F.max("class").alias("_high"))
+    return members.join(spread.filter("_low < _high").select("band", "key"), ["band", "key"])
+
+
 def near_classes(docs: DataFrame) -> DataFrame:
     """``doc_id, class_id, kept, sha`` for each row of ``docs``.
 
     ``class_id`` is the smallest id among documents linked by similarity, ``kept`` marks
     that document. Equal texts are one node. Nodes that share a band with others are
     verified on whole texts: first with the central node of their buckets; then
-    along forests of the best estimates between the classes of each bucket. No bucket is
-    too large. Texts without words are alike only if equal; a null
+    along forests of the best estimates between the classes of each bucket; at last every
+    pair of a bucket whose classes are still apart and whose estimate is ``ROUGH`` or more.
+    No bucket is too large, and no pair is left out for its number. Texts without words are alike only if equal; a null
     text is empty; null ids are smaller than others only where no other is there; rows
     that repeat an id are documents of their own; an empty table gives no rows.
     """
@@ -424,14 +550,19 @@ def near_classes(docs: DataFrame) -> DataFrame:
     own = F.coalesce("class", "node").alias("class")
     # Kept with the node that looked for a partner, not with a partner of many.
     tested = pairs.groupBy(F.col("a").alias("node")).agg(F.collect_set("b").alias("tested"))
-    labelled = (
-        members.join(components(links, "central"), "node", "left")
-        .join(tested, "node", "left")
-        .select("band", "key", own, "node", "sketch", "tested")
-    )
-    pairs = staged(across(staged(labelled, "labelled")), "pairs")
-    more = staged(verified(pairs, texts, weights), "more-links")
-    classes = components(links.union(more), "all")
+
+    def labelled(classes: DataFrame) -> DataFrame:
+        rows = members.join(classes, "node", "left").join(tested, "node", "left")
+        return staged(between(rows.select("band", "key", own, "node", "sketch", "tested")), "labelled")
+
+    pairs = staged(across(labelled(components(links, "central"))), "pairs")
+    links = staged(links.union(verified(pairs, texts, weights)), "more-links")
+    # What is still in different classes is verified pair by pair.
+    apart = labelled(components(links, "forests"))
+    homes = staged(chunked(apart), "homes")
+    rest = staged(remaining(apart.join(homes.select("node", "chunk"), "node")), "remaining")
+    last = staged(settled(rest, homes, texts, weights), "last-links")
+    classes = components(links.union(last), "all")
 
     named = nodes.select("sha", "node", "least").join(classes, "node", "left").select("sha", own, "least")
     ids = named.groupBy("class").agg(F.min("least").alias("class_id"))

@@ -219,6 +219,33 @@ def test_classes_over_block_ends_meet_outside_their_shared_block(spark, monkeypa
     assert {tuple(sorted(r)) for r in weighted_minhash.across(table).collect()} == {(0, 43)}
 
 
+def template_docs():
+    """A page of many edited copies, about 0.7 alike, in which a few pairs are 0.8 or more."""
+    base, docs, groups, draw = words(300, 5).split(), [], list(range(0, 300, 20)), random.Random(9)
+    for page in range(300):
+        text = list(base)
+        for g in draw.sample(groups, 5):
+            text[g + draw.randrange(4)] = words(1, draw.randrange(10**9))
+        docs.append((page, " ".join(text), None, None))
+        if page % 10 == 0:
+            # A near twin of this page: one more group edited.
+            text[7 + 20 * (page % 15)] = words(1, draw.randrange(10**9))
+            docs.append((1000 + page, " ".join(text), None, None))
+    return docs
+
+
+def test_every_pair_of_a_group_without_its_original(spark, monkeypatch):
+    # Forests find nothing: all links must come from the pairs that remain.
+    monkeypatch.setattr(weighted_minhash, "FORESTS", 0)
+    docs = template_docs()
+    table = frame(spark, docs)
+    frequencies, n = weighted_minhash.document_frequencies(common.pick(table, text="text"))
+    want = brute_classes(docs, weighted_minhash.Weights(frequencies, n))
+    got = [(r["doc_id"], r["class_id"]) for r in weighted_minhash.near_classes(table).collect()]
+    assert len({c for _, c in want}) > 5
+    assert sorted(got) == sorted(want)
+
+
 def test_forest_of_two_sides():
     score = np.array([[9, 0, 3], [8, 0, 4]], np.uint8)
     edges = set(weighted_minhash.forest(score, np.array([1, 2]), np.array([3, 4, 2])))
