@@ -7,6 +7,9 @@ from llm import (
     hilbert_shards,
     language_id,
     metric_tree,
+    order_minhash,
+    periodic_runs,
+    prefix_trie,
     secret_scan,
     source_mix,
     suffix_dedup,
@@ -25,6 +28,9 @@ QUERIES = {
     "op8_metric_tree": metric_tree.op8_metric_tree,
     "op9_warc_index": warc_index.op9_warc_index,
     "op10_language_id": language_id.op10_language_id,
+    "op11_prefix_trie": prefix_trie.op11_prefix_trie,
+    "op12_order_minhash": order_minhash.op12_order_minhash,
+    "op13_periodic_runs": periodic_runs.op13_periodic_runs,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -35,4 +41,6 @@ ORACLES = {
     "op4_content_sort_dedup": content_sort_dedup.ORACLE,
     "op8_metric_tree": metric_tree.ORACLE,
     "op9_warc_index": warc_index.ORACLE,
+    "op11_prefix_trie": prefix_trie.ORACLE,
+    "op13_periodic_runs": periodic_runs.ORACLE,
 }
