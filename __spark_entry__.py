@@ -20,11 +20,21 @@ from pyspark.sql.types import LongType, StringType, StructType
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))  # loaded from anywhere
 
-from hearthline.functions import NEGATIVE, POSITIVE, band, currency, lexicon_score
+from hearthline.functions import (
+    NEGATIVE,
+    POSITIVE,
+    band,
+    currency,
+    lexicon_function,
+    lexicon_score,
+    words,
+)
 from hearthline.operators import (
+    SENTIMENT,
     TEXT_LENGTH,
     group_stats,
     length_by_entity,
+    lexicon_score_table,
     match_profile,
     score_by_group,
     sql_over,
@@ -34,12 +44,14 @@ from hearthline.operators import (
     without_match,
 )
 from hearthline.plans import build_gold
-from hearthline.sinks import shared_folder, write_table
+from hearthline.sinks import shared_folder, stage, write_table
 from hearthline.sources import read_wide_csv, spread_rows
 
 try:  # the operators for training data are a part that can be left out
     from llm import registry
-except ImportError:
+except ImportError as missing:
+    if missing.name not in ("llm", "corpus_pipeline"):
+        raise
     registry = None
 
 # The documents are invented prose without the words of the built-in lists.
@@ -324,6 +336,32 @@ def document_score_builtin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return supplier_reviews(spark, sf_dir).select("doc_id", score.alias("score"))
 
 
+def document_score_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores by 5,000 weighted words, which are taken from the documents themselves."""
+    documents = table(spark, sf_dir, "documents")
+    lexicon = stage(word_weights(documents), "lexicon", scratch(spark, "lexicon")).table
+    return lexicon_score_table(documents, lexicon, "doc_id", "text")
+
+
+def word_weights(documents: DataFrame) -> DataFrame:
+    """The first 5,000 words of the documents by hash, with weights from -3 to 3."""
+    found = documents.select(F.explode(words(F.col("text"))).alias("word")).filter("word <> ''").distinct()
+    chosen = found.orderBy(F.md5("word"), "word").limit(5_000)
+    return chosen.select("word", (F.ascii(F.md5("word")) % 7 - 3).cast("bigint").alias("weight"))
+
+
+def nation_score_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listings = suppliers(spark, sf_dir).withColumnRenamed("nation", "neighbourhood_cleansed")
+    reviews = spread_rows(supplier_reviews(spark, sf_dir), tasks(spark))
+    scores = sql_over(
+        spark,
+        SENTIMENT,
+        {"listings": listings, "reviews": reviews},
+        functions={"lexicon_score": lexicon_function(PLUS, MINUS)},
+    )
+    return scores.withColumnRenamed("neighbourhood_cleansed", "nation")
+
+
 def nation_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_by_group(
         suppliers(spark, sf_dir), review_profile(spark, sf_dir), group="nation"
@@ -428,7 +466,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "band_summary": band_summary,
         "lexicon_score": document_score,
         "lexicon_score_builtin": document_score_builtin,
+        "lexicon_score_table": document_score_table,
         "score_by_group": nation_score,
+        "sentiment_sql": nation_score_sql,
         "text_length_sql": text_length_sql,
         "text_length_df": text_length_df,
         "text_length_top": text_length_top,
@@ -578,7 +618,8 @@ def oracle_sql() -> dict[str, str]:
         FROM {job_joined} GROUP BY neighbourhood_cleansed
     """
     comment_length = f"""
-        SELECT r.listing_id, l.name, {exact_avg("length(r.comments)", 1, 1)} AS avg_comment_length,
+        SELECT r.listing_id, l.name,
+               {exact_avg("length(nullif(r.comments, ''))", 1, 1)} AS avg_comment_length,
                count(r.id) AS reviews_count
         FROM {job_joined} GROUP BY r.listing_id, l.name HAVING count(r.id) >= {JOB_FLOOR}
         ORDER BY avg_comment_length DESC NULLS LAST, r.listing_id LIMIT {JOB_TOP}
@@ -635,7 +676,22 @@ def oracle_sql() -> dict[str, str]:
         "lexicon_score_builtin": f"""
             SELECT doc_id, {builtin_score} AS score FROM ({reviews})
         """,
+        "lexicon_score_table": """
+            WITH found AS (
+                SELECT doc_id, unnest(regexp_split_to_array(lower(translate(text, '.,', '  ')), '\\s+')) AS word
+                FROM documents
+            ), weights AS (
+                SELECT word, ascii(md5(word)) % 7 - 3 AS weight
+                FROM (SELECT DISTINCT word FROM found WHERE word <> '') ORDER BY md5(word), word LIMIT 5000
+            ), hits AS (
+                SELECT doc_id, count(*) AS words, CAST(sum(weight) AS BIGINT) AS score
+                FROM found JOIN weights USING (word) GROUP BY doc_id
+            )
+            SELECT doc_id, coalesce(words, 0) AS words, coalesce(score, 0) AS score
+            FROM documents LEFT JOIN hits USING (doc_id)
+        """,
         "score_by_group": scores,
+        "sentiment_sql": scores,
         "text_length_sql": lengths,
         "text_length_df": lengths,
         "text_length_top": f"""

@@ -61,3 +61,18 @@ def lexicon_score(
         hits, F.lit(0), lambda total, word: total + F.when(word.isin(plus), 1).otherwise(-1)
     )
     return F.coalesce(score, F.lit(0))
+
+
+def lexicon_function(
+    positive: Iterable[str] = POSITIVE, negative: Iterable[str] = NEGATIVE
+) -> str:
+    """``lexicon_score`` as the definition of a SQL function, for ``sql_over``."""
+
+    def listed(bank: list[str]) -> str:
+        quoted = ("'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'" for w in bank)
+        return f"word IN ({', '.join(quoted)})" if bank else "false"
+
+    plus, minus = ([w for w in bank if w] for bank in (positive, negative))
+    hits = f"filter(split(lower(text), r'{SEPARATORS}'), word -> {listed(plus + minus)})"
+    total = f"aggregate({hits}, 0, (total, word) -> total + if({listed(plus)}, 1, -1))"
+    return f"(text STRING) RETURNS INT RETURN coalesce({total}, 0)"

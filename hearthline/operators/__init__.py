@@ -1,6 +1,7 @@
 """General table operators; columns, thresholds and word lists are arguments."""
 
-from hearthline.operators.groups import exact_avg, group_stats, within
+from hearthline.operators.groups import ExactAverage, group_stats, within
+from hearthline.operators.lexicon import lexicon_score_table
 from hearthline.operators.matches import (
     length_by_entity,
     length_of,
@@ -13,14 +14,16 @@ from hearthline.operators.matches import (
     without_match,
 )
 from hearthline.operators.ranks import with_rank
-from hearthline.operators.sql import TEXT_LENGTH, sql_over
+from hearthline.operators.sql import SENTIMENT, TEXT_LENGTH, sql_over
 
 __all__ = [
+    "SENTIMENT",
     "TEXT_LENGTH",
-    "exact_avg",
+    "ExactAverage",
     "group_stats",
     "length_by_entity",
     "length_of",
+    "lexicon_score_table",
     "match_profile",
     "matched",
     "score_by_group",

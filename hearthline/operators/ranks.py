@@ -2,78 +2,89 @@
 
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DRAWS = 16  # values drawn for each range
 
 
-def with_rank(df: DataFrame, by: str, name: str, *, ranges: int | None = None) -> DataFrame:
+def with_rank(
+    df: DataFrame, by: str, name: str, *, ranges: int | None = None, once: bool = True
+) -> DataFrame:
     """``df`` with the SQL ``rank()`` of the column ``by``, highest first, NULL last.
 
     Any type that can be ordered, NaN above all numbers; a column ``name`` is replaced.
-    The distinct values are counted, dealt out to ``ranges`` ranges (the session's
-    shuffle partitions by default), ranked inside and shifted by the rows of higher
-    ranges; every row then looks its value up in an ordinary join, whose hot keys
-    adaptive execution splits. All of it is one plan: no job runs and no file is written
-    before the result is asked for.
+    The rows are dealt out to ``ranges`` ranges of values (the session's shuffle partitions
+    by default), sorted and ranked inside, and shifted by the rows of higher ranges: one
+    shuffle and no join by value. A value with so many rows that it would fill a range is
+    a range of its own; its rows all have one rank and stay anywhere. All of it is one plan:
+    no job runs and no file is written before the result is asked for.
+
+    The ranges come from drawn values. ``once`` draws them from whole rows, so that what an
+    aggregate or a join has shuffled is shared, and read and computed once. Turn it off for
+    the scan of a stored table: the draw then reads the column ``by`` alone.
     """
     n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    value, rows, cuts, at = (f"_{uuid4().hex[:8]}_{x}" for x in ("value", "rows", "cuts", "range"))
-    values = df.groupBy(F.col(by).alias(value)).agg(F.count(F.lit(1)).alias(rows))
-    ranged = values.withColumn(cuts, _cuts(values, value, n).scalar()).select(
-        value, rows, _range(F.col(value), F.col(cuts), n).alias(at)
+    columns = [f"c{i}" for i in range(len(df.columns))]
+    flat = df.withColumn(f"_{uuid4().hex}", F.col(by)).toDF(*columns, "value")
+    # As far as Catalyst knows the row may be missing, so none of its columns is pruned and all
+    # readers have the same plan below.
+    whole = f"if(rand(1) >= 0, struct({', '.join(columns)}, value), NULL) AS row"
+    rows = flat.selectExpr(whole, "rand(2) AS draw")
+    drawn = rows if once else flat.selectExpr("struct(value) AS row", "rand(2) AS draw")
+
+    found = rows.withColumn("cuts", _cuts(drawn, n).scalar()).selectExpr(
+        "row", "draw", "cuts", f"{_range(n)} AS place"
     )
-    # As many rows as there are ranges: one task and a broadcast are enough.
-    above = Window.orderBy(F.col(at).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy(at)
-        .agg(F.sum(rows).alias(rows))
-        .select(at, F.coalesce(F.sum(rows).over(above), F.lit(0)).alias(cuts))
+    crowded = "get(cuts, place - 1).crowded AND get(cuts, place - 1).value = row.value"
+    found = found.selectExpr(
+        "row", "draw", "place", f"row.value IS NULL OR coalesce({crowded}, false) AS own"
     )
-    higher = (
-        Window.partitionBy(at)
-        .orderBy(F.col(value).desc())
-        .rowsBetween(Window.unboundedPreceding, -1)
+    found = found.selectExpr(
+        "row",
+        "own",
+        f"if(own, CAST(floor(draw * {n}) AS int), place) AS part",
+        "2 * place + if(own, 0, 1) AS height",
     )
-    inside = ranged.repartitionById(n + 1, F.col(at)).select(
-        value, at, (F.coalesce(F.sum(rows).over(higher), F.lit(0)) + 1).alias(rows)
+    # As many rows as there are ranges: one task and a broadcast are enough.
+    higher = "sum(n) OVER (ORDER BY height DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    counts = found.groupBy("height").agg(F.count("row").alias("n"))
+    offsets = counts.selectExpr("height", f"coalesce({higher}, 0L) AS above")
+    dealt = found.repartitionById(n + 1, F.col("part"))
+    inside = dealt.selectExpr(
+        "row", "own", "height", "rank() OVER (PARTITION BY part ORDER BY own, row.value DESC) AS inside"
     )
-    ranks = inside.join(F.broadcast(offsets), at).select(
-        value, (F.col(rows) + F.col(cuts)).cast("bigint").alias(rows)
+    ranked = inside.join(F.broadcast(offsets), "height").selectExpr(
+        *(f"row.{c}" for c in columns), "above + if(own, 1, inside) AS rank"
     )
-    looked_up = df.join(ranks, F.col(by).eqNullSafe(F.col(value)))
-    return looked_up.withColumn(name, F.col(rows)).drop(value, rows)
+    rank = f"_{uuid4().hex}"
+    return ranked.toDF(*df.columns, rank).withColumn(name, F.col(rank)).drop(rank)
 
 
-def _cuts(values: DataFrame, value: str, ranges: int) -> DataFrame:
-    """One row: a sorted array of at most ``ranges`` - 1 values that part all about evenly.
+def _cuts(rows: DataFrame, ranges: int) -> DataFrame:
+    """One row: a sorted array of at most ``ranges`` values that part the rows about evenly.
 
-    Of the values whose hashes share a remainder the one with the least hash is drawn, so
-    the number of draws is bounded and partial aggregates carry no more than that.
+    Each has a mark ``crowded`` if its rows would fill a range. The number of draws is
+    bounded, and partial aggregates carry no more than that.
     """
-    hashed = F.xxhash64(value)
-    draws = values.groupBy(F.pmod(hashed, F.lit(ranges * DRAWS)).alias("draw")).agg(
-        F.min_by(value, hashed).alias("drawn")
+    drawn = rows.selectExpr("row.value AS value", "draw").filter("value IS NOT NULL")
+    drawn = drawn.groupBy(F.expr(f"floor(draw * {ranges * DRAWS}) AS bin")).agg(
+        F.min_by("value", "draw").alias("value")
     )
-    drawn = F.array_sort(F.collect_list("drawn"))
-    return draws.agg(drawn.alias("drawn")).select(
-        F.filter("drawn", lambda _, i: i % DRAWS == DRAWS // 2).alias("cuts")
+    ordered = drawn.selectExpr(
+        f"filter(array_sort(collect_list(value)), (x, i) -> i % {DRAWS} = {DRAWS // 2}) AS value"
     )
+    marked = "(x, i) -> struct(x AS value, get(value, i + 1) <=> x AS crowded, get(value, i - 1) <=> x AS again)"
+    return ordered.selectExpr(f"filter(transform(value, {marked}), cut -> NOT cut.again) AS cuts")
 
 
-def _range(value: Column, cuts: Column, ranges: int) -> Column:
-    """0 for NULL, else one more than the cuts not above ``value``, by binary search."""
-
-    def halve(found: Column, _: Column) -> Column:
-        low, high = found["low"], found["high"]
-        middle = F.shiftright(low + high, 1)
-        right = (low < high) & (F.get(cuts, middle) <= value)
-        return F.when(right, F.struct((middle + 1).alias("low"), high.alias("high"))).otherwise(
-            F.struct(low.alias("low"), middle.alias("high"))
-        )
-
-    start = F.struct(F.lit(0).alias("low"), F.least(F.size(cuts), F.lit(ranges - 1)).alias("high"))
-    steps = F.sequence(F.lit(1), F.lit(max(ranges.bit_length(), 1)))
-    found = F.aggregate(steps, start, halve, lambda found: found["low"])
-    return F.when(value.isNull(), F.lit(0)).otherwise(found + 1)
+def _range(ranges: int) -> str:
+    """How many of the ``cuts`` are not above ``row.value``, by binary search; 0 for NULL."""
+    middle = "shiftright(at.low + at.high, 1)"
+    halve = f"""
+        if(at.low < at.high AND get(cuts, {middle}).value <= row.value,
+           named_struct('low', {middle} + 1, 'high', at.high),
+           named_struct('low', at.low, 'high', {middle}))"""
+    steps = f"sequence(1, {ranges.bit_length() + 1})"
+    found = f"aggregate({steps}, named_struct('low', 0, 'high', size(cuts)), (at, _) -> {halve}, at -> at.low)"
+    return f"if(row.value IS NULL, 0, {found})"

@@ -1,5 +1,7 @@
 """SQL over DataFrames."""
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 
 # The SQL form of ``length_by_entity`` over listings and reviews. The groups are structs, which
@@ -25,14 +27,48 @@ TEXT_LENGTH = """
 """
 
 
+# The SQL form of ``score_by_group``, with the score as a SQL function.
+SENTIMENT = """
+    WITH scores AS (
+        SELECT listing_id, count(*) AS reviews, sum({lexicon_score}(comments)) AS score
+        FROM {reviews}
+        WHERE listing_id IS NOT NULL
+        GROUP BY listing_id, pmod(xxhash64(listing_id), 2)
+    ), sums AS (
+        SELECT struct(neighbourhood_cleansed) AS area, sum(reviews) AS review_count,
+               sum(score) AS score
+        FROM {listings} JOIN scores ON id = listing_id
+        GROUP BY struct(neighbourhood_cleansed)
+    )
+    SELECT area.neighbourhood_cleansed AS neighbourhood_cleansed, review_count,
+           round(score / review_count, 3) AS avg_sentiment
+    FROM sums
+    ORDER BY avg_sentiment DESC, neighbourhood_cleansed
+"""
+
+
 def sql_over(
     spark: SparkSession,
     text: str,
     frames: dict[str, DataFrame],
     parameters: dict[str, object] | None = None,
+    functions: dict[str, str] | None = None,
 ) -> DataFrame:
     """Run a query that names its frames as ``{frame}`` and its parameters as ``:name``.
 
-    No session view is created or replaced, and no value is pasted into the text.
+    ``functions`` are SQL functions that the query calls as ``{name}(...)``, each with its
+    definition from the arguments on (``(x INT) RETURNS INT RETURN x + 1``). Spark puts
+    their bodies into the plan, so no Python worker runs; they exist under names of their
+    own until the query is analysed, also if that fails. No session view or function is
+    left or replaced, and no value is pasted into the text.
     """
-    return spark.sql(text, args=parameters or {}, **frames)
+    made: list[str] = []
+    try:
+        for name, definition in (functions or {}).items():
+            made.append(f"{name}_{uuid4().hex}")
+            spark.sql(f"CREATE TEMPORARY FUNCTION {made[-1]}{definition}")
+            text = text.replace(f"{{{name}}}", made[-1])
+        return spark.sql(text, args=parameters or {}, **frames)
+    finally:
+        for name in made:
+            spark.sql(f"DROP TEMPORARY FUNCTION IF EXISTS {name}")

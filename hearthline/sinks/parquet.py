@@ -75,9 +75,14 @@ def stage(df: DataFrame, name: str, path: str | None = None) -> Staged:
 
 
 def unstage(spark: SparkSession, path: str) -> None:
-    """Delete staged files that nobody reads any more, or what a failed write left."""
-    files = spark._jvm.org.apache.hadoop.fs.Path(path)  # PySpark has no call for it
-    files.getFileSystem(spark._jsc.hadoopConfiguration()).delete(files, True)
+    """Delete staged files that nobody reads any more, or what a failed write left.
+
+    The folder becomes a database for a moment and is dropped with all that is in it: SQL's
+    way to delete files in any store that Spark writes to, in every kind of session.
+    """
+    name, place = f"unstage_{uuid4().hex}", path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{place}'")
+    spark.sql(f"DROP DATABASE {name} CASCADE")
 
 
 @contextmanager

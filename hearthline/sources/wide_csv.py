@@ -1,8 +1,15 @@
 """Wide, dirty, compressed CSV exports."""
 
+import re
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import unquote
+
+from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, IntegralType, StringType, StructType
+from pyspark.sql.types import DataType, IntegralType, StringType, StructField, StructType
 
 from hearthline import schemas
 
@@ -30,6 +37,10 @@ def project_cast(raw: DataFrame, schema: StructType) -> DataFrame:
     )
 
 
+FORMAT = {"multiLine": True, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+HEADERS_AT_ONCE = 16
+
+
 def read_wide_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -44,21 +55,64 @@ def read_wide_csv(
     inferred. Neither gzip nor line breaks inside fields can be split, so each file
     is read by one task: pass a folder or a list of many files.
 
-    Columns are found by the header of the first file. A file whose header is not the
-    one Spark derives from it stops the job instead of mixing up columns: another order of
-    columns, and also repeated or empty names, in a single file as in many. Turn
-    ``check_headers`` off for the latter; all files must then have the same columns.
+    Columns are found by the header of their own file, so files may have them in another
+    order, and more of them, with empty or repeated names. Only a wanted column that is
+    missing or repeated is an error. Names are equal if only their case differs, unless
+    one is written exactly alike. A file without a header has no rows. ``check_headers=False``
+    takes the first file's header for all and reads no other one.
     """
-    raw = spark.read.csv(
-        path,
-        header=True,
-        multiLine=True,
-        quote='"',
-        escape='"',
-        mode="PERMISSIVE",
-        enforceSchema=not check_headers,
-    )
-    return project_cast(raw, schema)
+    files = [_literal(f) for f in spark.read.schema("line string").csv(path).inputFiles()]
+    asked = files if check_headers else files[:1]
+    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
+        headers = list(pool.map(inheritable_thread_target(spark)(lambda f: _header(spark, f)), asked))
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for number, file in enumerate(files):
+        header = headers[number if check_headers else 0]
+        if header:
+            layouts.setdefault(_layout(header, schema, file), []).append(file)
+    if not layouts:
+        raise AnalysisException(f"no header in {path}")
+    tables = [
+        project_cast(
+            spark.read.schema(StructType([StructField(name, StringType()) for name in names])).csv(
+                found, header=True, enforceSchema=True, **FORMAT
+            ),
+            schema,
+        )
+        for names, found in layouts.items()
+    ]
+    return reduce(DataFrame.unionByName, tables)
+
+
+def _literal(file: str) -> str:
+    """A listed file as a path that is read as it stands."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(file))
+
+
+def _header(spark: SparkSession, file: str, width: int = 256) -> tuple[str, ...]:
+    """The first record of a file, without empty names at its end; the reader stops behind it."""
+    columns = StructType([StructField(f"_{place}", StringType()) for place in range(width)])
+    first = spark.read.schema(columns).csv(file, header=False, **FORMAT).head(1)
+    names = [name or "" for name in first[0]] if first else []
+    if names and names[-1]:
+        return _header(spark, file, 2 * width)
+    return tuple(names[: max((i + 1 for i, name in enumerate(names) if name), default=0)])
+
+
+def _layout(header: tuple[str, ...], schema: StructType, file: str) -> tuple[str, ...]:
+    """A name for each place of a file: the wanted column's, or one that nobody asks for."""
+    names = [f"_{place}" for place in range(len(header))]
+    taken = {field.name.lower() for field in schema}
+    names = [name if name not in taken else f"_{name}_" for name in names]
+    for field in schema:
+        places = [i for i, name in enumerate(header) if name == field.name] or [
+            i for i, name in enumerate(header) if name.lower() == field.name.lower()
+        ]
+        if len(places) != 1:
+            fault = "is repeated" if places else "is missing"
+            raise AnalysisException(f"column {field.name} {fault} in the header of {file}")
+        names[places[0]] = field.name
+    return tuple(names)
 
 
 def spread_rows(source: DataFrame, width: int) -> DataFrame:

@@ -1,17 +1,23 @@
 """The general operators against plain joins and against brute force."""
 
 import random
+import re
 from collections import Counter
+from decimal import Decimal
+from fractions import Fraction
 
+import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from hearthline.functions import lexicon_score
+from hearthline.functions import lexicon_function, lexicon_score
 from hearthline.operators import (
+    SENTIMENT,
     TEXT_LENGTH,
     group_stats,
     length_by_entity,
+    lexicon_score_table,
     match_profile,
     score_by_group,
     sql_over,
@@ -224,6 +230,101 @@ def test_averages_of_unusual_values(spark):
     assert got == {"b": float("inf"), "c": 5e299, "d": None, "e": 1.0}
 
 
+@pytest.mark.parametrize("kind", ["double", "bigint", "decimal(30,6)", "float"])
+@pytest.mark.parametrize("digits", [0, 2, 8])
+def test_averages_of_any_size(spark, kind, digits):
+    rng = random.Random(digits)
+
+    def value(g):
+        if kind == "bigint":
+            return rng.randint(-(10 ** (g % 19)), 10 ** (g % 19))
+        if kind.startswith("decimal"):
+            return Decimal(rng.randint(-(10 ** (g % 28)), 10 ** (g % 28))).scaleb(-6)
+        return float(np.float32(rng.uniform(-1, 1) * 10 ** (g % 25 - 6))) if kind == "float" else rng.uniform(-1, 1) * 10 ** (g % 25 - 6)
+
+    rows = [(i % 40, value(i % 40)) for i in range(2000)]
+    df = spark.createDataFrame(rows, f"g int, v {kind}")
+    results = [
+        sorted(map(tuple, group_stats(df.repartition(n), "g", "n", digits, a=("avg", "v")).collect()))
+        for n in (3, 7)
+    ]
+    assert results[0] == results[1]
+    places = max(6, min(15, digits + 4))
+    for group, n, average in results[0]:
+        found = [Fraction(v) for g, v in rows if g == group]
+        if kind in ("double", "float"):
+            found = [Fraction(round(v * 10**places), 10**places) for v in found]
+        exact = abs(sum(found)) / n * 10**digits
+        rounded = (2 * exact.numerator + exact.denominator) // (2 * exact.denominator)
+        assert average == float(rounded) / 10.0**digits * (-1 if sum(found) < 0 else 1)
+
+
+def test_small_and_large_averages(spark):
+    df = spark.createDataFrame([(1.2e-7, 1e15 + 0.25), (1.4e-7, 3.0), (None, None)], "a double, b double")
+    row = group_stats(df.withColumn("g", F.lit(1)), "g", "n", 8, a=("avg", "a"), b=("avg", "b")).first()
+    assert (row.a, row.b) == (1.3e-7, 500000000000001.625)
+    none = group_stats(df.filter("a IS NULL").withColumn("g", F.lit(1)), "g", "n", a=("avg", "a")).first()
+    assert none.a is None
+
+
+def test_lexicon_table_adds_up_weights(spark):
+    texts = [("a", "Good, good.bad"), ("a", None), ("b", ""), (None, "GOOD nothing"), ("b", "twice good twice")]
+    df = spark.createDataFrame(texts, "k string, t string")
+    lexicon = spark.createDataFrame(
+        [("good", 2), ("bad", -5), ("twice", 1), ("twice", 2), ("nothing", None), ("", 9), (None, 9)], "word string, weight int"
+    )
+    got = lexicon_score_table(df, lexicon, "k", "t").collect()
+    assert Counter(map(tuple, got)) == Counter(
+        [("a", 3, -1), ("a", 0, 0), ("b", 0, 0), (None, 2, 2), ("b", 3, 8)]
+    )
+    assert lexicon_score_table(df.limit(0), lexicon, "k", "t").count() == 0
+    empty = lexicon_score_table(df, lexicon.limit(0), "k", "t")
+    assert {tuple(r)[1:] for r in empty.collect()} == {(0, 0)}
+
+
+def test_lexicon_table_equals_the_list(spark, pair):
+    _, children = pair
+    rows = [(w, 1) for w in ("great", "lovely", "clean")] + [(w, -1) for w in ("dirty", "noisy!", "bad")]
+    lexicon = spark.createDataFrame(rows, "word string, weight int")
+    numbered = children.withColumn("id", F.monotonically_increasing_id())
+    score = lexicon_score(F.col("comments"), [w for w, s in rows if s > 0], [w for w, s in rows if s < 0])
+    expected = numbered.select("id", score.cast("bigint").alias("score"))
+    same(lexicon_score_table(numbered, lexicon, "id", "comments").select("id", "score"), expected)
+
+
+def test_a_frequent_word_is_split_and_the_texts_are_read_once(spark, folder):
+    texts = spark.range(0, 20_000, 1, 8).select("id", F.concat(F.lit("the w"), F.col("id")).alias("t"))
+    texts.write.parquet(f"{folder}/t")
+    lexicon = spark.range(0, 40_000).select(F.concat(F.lit("w"), F.col("id")).alias("word"), F.lit(1).alias("weight"))
+    lexicon = lexicon.union(spark.createDataFrame([("the", 3)], "word string, weight int"))
+    scored = lexicon_score_table(spark.read.parquet(f"{folder}/t"), lexicon, "id", "t")
+    assert scored.agg(F.sum("score"), F.min("words"), F.max("words")).first() == (80_000, 2, 2)
+    scored.collect()
+    plan = scored._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert len(re.findall("Scan parquet", plan)) == 1 and "Python" not in plan
+
+
+def test_sql_function_scores_like_the_column(spark, pair):
+    entities, children = pair
+    odd = [("it's",), ("back\\\\slash",), ("a\x85great\u3000bad",), (None,), ("",)]
+    texts = children.select("comments").union(spark.createDataFrame(odd, "comments string"))
+    plus, minus = ["great", "it's", "back\\\\slash"], ["bad", "dirty"]
+    scored = sql_over(
+        spark, "SELECT comments, {f}(comments) AS s FROM {t}", {"t": texts}, functions={"f": lexicon_function(plus, minus)}
+    )
+    same(scored, texts.select("comments", lexicon_score(F.col("comments"), plus, minus).alias("s")))
+    areas = entities.withColumnRenamed("area", "neighbourhood_cleansed")
+    result = sql_over(
+        spark, SENTIMENT, {"listings": areas, "reviews": children}, functions={"lexicon_score": lexicon_function()}
+    )
+    same(result, score_by_group(areas, full_profile(children)))
+    assert "Python" not in result._jdf.queryExecution().executedPlan().toString()
+    for text in ("SELECT {f}(1) FROM {t}", "SELECT nothing FROM {t}"):
+        with pytest.raises(Exception):
+            sql_over(spark, text, {"t": texts}, functions={"f": "(x INT, y INT) RETURNS INT RETURN x + y"})
+    assert not [f for f in spark.catalog.listFunctions() if f.name.startswith(("f_", "lexicon_score_"))]
+
+
 def test_rank_leaves_gaps_after_ties(spark):
     df = spark.createDataFrame([(v,) for v in (9.0, 9.0, 8.0, None)], "v double")
     assert sorted(r.r for r in with_rank(df, "v", "r").collect()) == [1, 1, 3, 4]

@@ -110,11 +110,34 @@ def test_a_hot_listing_is_split_in_sql(spark, shuffled_joins):
     assert result.agg(F.sum("reviews_count")).first()[0] == 60_000
 
 
-def test_a_hot_value_is_split_when_ranks_are_looked_up(spark, shuffled_joins):
+def test_rows_of_a_hot_value_stay_spread_when_they_are_ranked(spark, shuffled_joins):
     rows = hot(spark, 20_000).withColumn("v", F.col("key").cast("double")).drop("key")
-    ranked = with_rank(rows, "v", "r")
-    assert "skew=true" in final_plan(ranked)
-    assert ranked.agg(F.count("*"), F.max("r")).first() == (20_000, 10_000)
+    for once in (True, False):
+        ranked = with_rank(rows, "v", "r", once=once)
+        assert ranked.agg(F.count("*"), F.max("r")).first() == (20_000, 10_000)
+        sizes = [r["count"] for r in ranked.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) >= 8 and max(sizes) < 5_000  # half of the rows have one value
+
+
+def without_initial_plans(plan):
+    """The plan as it ran, with those of its subqueries."""
+    kept, above = [], None
+    for line in plan.splitlines():
+        depth = re.search(r"[^\s:+|-]", line + "x").start()
+        if above is not None and depth >= above:
+            continue
+        above = depth if "== Initial Plan ==" in line else None
+        kept.append(line)
+    return "\n".join(kept)
+
+
+def test_rank_reads_and_shuffles_its_input_once(spark, folder):
+    hot(spark, 20_000).write.parquet(f"{folder}/t")
+    totals = spark.read.parquet(f"{folder}/t").groupBy("key").agg(F.sum("n").alias("v"), F.max("name"))
+    plan = without_initial_plans(final_plan(with_rank(totals, "v", "r")))
+    assert "SortMergeJoin" not in plan and plan.count("ReusedExchange") >= 2
+    assert "ReusedSubquery" in plan  # the ranges are drawn once
+    assert len(re.findall("Scan parquet", plan)) == 1
 
 
 def test_rank_runs_no_job_before_it_is_asked(spark):

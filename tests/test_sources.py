@@ -96,24 +96,40 @@ def test_many_files(spark, folder):
     assert listed.count() == 2
 
 
-def test_files_with_other_column_places_fail_instead_of_mixing(spark, folder):
+def test_files_with_other_column_places_are_read_by_name(spark, folder):
     wanted = StructType().add("name", StringType()).add("id", LongType())
     write(folder, "id,skip,name\n1,x,a\n", "one.csv.gz")
     write(folder, "name,skip,id\nb,x,2\n", "two.csv.gz")
-    with pytest.raises(Exception, match="(?i)header"):
-        read_wide_csv(spark, folder, wanted).collect()
+    write(folder, 'more,"na\nme",NAME,Id,more\nm,n,"c\nd",3,m\n', "three [1] %20.csv")
+    write(folder, "", "empty.csv")
+    rows = read_wide_csv(spark, folder, wanted).collect()
+    assert {tuple(r) for r in rows} == {("a", 1), ("b", 2), ("c\nd", 3)}
 
 
-def test_one_header_rule_for_one_file_and_for_many(spark, folder):
+def test_unnamed_and_repeated_columns_nobody_asks_for(spark, folder):
     wanted = StructType().add("name", StringType()).add("id", LongType())
+    assert [tuple(r) for r in read_wide_csv(spark, write(folder, ",id,name,\nx,1,a,y\n", "0.csv"), wanted).collect()] == [("a", 1)]
     repeated = "id,skip,name,skip,\n{0},x,a,y,z\n"
     one = write(folder, repeated.format(1))
     two = [one, write(folder, repeated.format(2), "two.csv.gz")]
     for path, ids in ((one, [1]), (two, [1, 2])):
-        loose = read_wide_csv(spark, path, wanted, check_headers=False)
-        assert sorted(r.id for r in loose.collect()) == ids
-        with pytest.raises(Exception, match="(?i)header"):
-            read_wide_csv(spark, path, wanted).collect()
+        for checked in (True, False):
+            rows = read_wide_csv(spark, path, wanted, check_headers=checked).collect()
+            assert sorted(r.id for r in rows) == ids
+
+
+def test_a_wanted_column_that_is_missing_or_repeated_is_the_only_error(spark, folder):
+    wanted = StructType().add("id", LongType()).add("_0", StringType())
+    good = write(folder, "_0,id\na,1\n", "good.csv")
+    for header in ("id,_0,id", "id,name", "ID,Id,_0"):
+        bad = write(folder, f"{header}\n1,2,3\n", "bad.csv")
+        with pytest.raises(AnalysisException, match="header of .*bad.csv"):
+            read_wide_csv(spark, [good, bad], wanted)
+    assert tuple(read_wide_csv(spark, good, wanted).first()) == (1, "a")
+    exact = write(folder, "ID,_0,id\n1,a,2\n", "exact.csv")
+    assert tuple(read_wide_csv(spark, exact, wanted).first()) == (2, "a")
+    with pytest.raises(AnalysisException):
+        read_wide_csv(spark, write(folder, "", "none.csv"), wanted)
 
 
 def test_listings_and_reviews(spark, folder):
