@@ -22,20 +22,25 @@ END = 1  # id that closes a document
 SMALL = CAPACITY // 8  # pieces up to this length are left to best fit
 GROUPS = 128  # of large pieces; bounds what the driver optimises
 DEALT = 30_000  # pieces and open sequences in a task of the best fit
-CACHED = 400_000  # words whose ids a worker remembers
+CACHED = 1_000_000  # words whose ids a worker remembers
+AT_ONCE = 10_000  # words that go to the tokenizer together
+TEXT = 1 << 22  # bytes of text whose words are numbered at once
 
 
 class Words(dict):
-    """Ids of a word between white space, as little-endian bytes, by the real tokenizer.
+    """Ids of words between white space, as little-endian bytes, by the real tokenizer.
 
     The tokenizer drops white space, and neither its normaliser nor its patterns look
-    across it, so words are encoded one by one and remembered. ASCII words are parted
-    once more, as the tokenizer does, into runs that recur far more often.
+    across it, so words are encoded one by one and remembered. It lower-cases letters, and
+    parts them from full stops and commas, so both is done before, and a word has fewer forms.
+    ASCII words are parted once more, as the tokenizer does, into runs that recur far more often.
     """
 
     RUN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
-    # Python takes these for white space, the tokenizer doesn't.
-    OTHER = re.compile("[\x1c-\x1f]")
+    # What Python takes for white space and the tokenizer doesn't, and the tokenizer's own marks.
+    WHOLE = "[\x1c-\x1f]|<\\|"
+    # A letter, but not the one whose lower case ends in a mark; stops; the end of the word.
+    STOPS = r"([^\PL\x{130}])([.,]+)(\s|$)"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -43,46 +48,91 @@ class Words(dict):
 
         self.tokenizer, self.runs = Tokenizer.from_file(path), {}
 
-    def encoded(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def encoded(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(f.ids, "<u4").tobytes() for f in found]
 
-    def __missing__(self, word: str) -> bytes:
+    def of(self, words: list[str]) -> list[bytes]:
+        """The ids of each of the words; new ones go to the tokenizer together."""
         if len(self) >= CACHED:
             self.clear()
         if len(self.runs) >= CACHED:
             self.runs.clear()
-        if word.isascii() and "<|" not in word:
-            parts = []
-            for run in self.RUN.findall(word.lower()):
-                ids = self.runs.get(run)
-                if ids is None:
-                    ids = self.runs[run] = self.encoded(run)
-                parts.append(ids)
-            found = b"".join(parts)
-        else:
-            found = self.encoded(word)
-        if len(word) < 64:
-            self[word] = found
+        new = [w for w in words if w not in self]
+        parted = {w: self.RUN.findall(w) for w in new if w.isascii()}
+        unknown = list({r for runs in parted.values() for r in runs if r not in self.runs})
+        for at in range(0, len(unknown), AT_ONCE):
+            self.runs.update(zip(unknown[at : at + AT_ONCE], self.encoded(unknown[at : at + AT_ONCE])))
+        self.update((w, b"".join(map(self.runs.__getitem__, runs))) for w, runs in parted.items())
+        unknown = [w for w in new if w not in parted]
+        for at in range(0, len(unknown), AT_ONCE):
+            self.update(zip(unknown[at : at + AT_ONCE], self.encoded(unknown[at : at + AT_ONCE])))
+        found = [self[w] for w in words]
+        for w in new:
+            if len(w) > 64:
+                del self[w]
+                for run in parted.get(w, ()):
+                    if len(run) > 64:
+                        self.runs.pop(run, None)
         return found
 
-    def ids(self, text: str) -> bytes:
-        if self.OTHER.search(text):
-            return self.encoded(text)
-        return b"".join(map(self.__getitem__, text.split()))
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each closed by ``END``, one after the other, and where each ends.
+
+        The words of all texts are numbered by Arrow; only different ones are looked up, and
+        the ids are gathered by number.
+        """
+        whole = pc.match_substring_regex(texts, self.WHOLE)
+        lower = pc.ascii_lower(pc.if_else(whole, "", texts))
+        lists = pc.utf8_split_whitespace(pc.replace_substring_regex(lower, self.STOPS, r"\1 \2\3"))
+        after = lists.offsets.to_numpy().astype(np.int64)
+        after -= after[0]
+        coded = pc.dictionary_encode(lists.flatten())
+        word = coded.indices.to_numpy()
+        found = self.of(coded.dictionary.to_pylist())
+        found.append(np.array([END], "<u4").tobytes())
+        place = np.arange(len(word)) + np.repeat(np.arange(len(texts)), np.diff(after))
+        number = np.full(len(word) + len(texts), len(found) - 1)
+        number[place] = word
+        for row in np.flatnonzero(whole.to_numpy(zero_copy_only=False)).tolist():
+            number[after[row] + row] = len(found)  # the row's only word
+            found += self.encoded([texts[row].as_py()])
+        size = np.array([len(f) // 4 for f in found], np.int64)
+        first = np.cumsum(size) - size
+        sizes = size[number]
+        ends = np.cumsum(sizes)
+        at = np.repeat(first[number] - ends + sizes, sizes)
+        at += np.arange(len(at))
+        return np.frombuffer(b"".join(found), "<u4")[at], ends[after[1:] + np.arange(len(texts))]
+
+
+def parts(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of at most ``TEXT`` bytes, or of one row."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int32 if pa.types.is_string(texts.type) else np.int64)
+    after = offsets[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    first = 0
+    while first < len(texts):
+        last = int(np.searchsorted(after, after[first] + TEXT, "right")) - 1
+        last = min(max(last, first + 1), len(texts))
+        yield first, last
+        first = last
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32``: the ids of each row, cut if too long."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = Words(tokenizer), np.array([END], "<u4").tobytes()
+        words = Words(tokenizer)
         for batch in batches:
-            out = []
-            for row, text in enumerate(batch["text"]):
-                ids = words.ids(text.as_py()) + end
-                for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at : at + 4 * capacity]
-                    out.append((row, piece, at // 4, len(part) // 4, zlib.crc32(part)))
+            texts, out = batch["text"], []
+            for first, last in parts(texts):
+                ids, ends = words.ids(texts.slice(first, last - first))
+                held, start = memoryview(ids).cast("B"), 0
+                for row, end in enumerate(ends.tolist(), first):
+                    for piece, at in enumerate(range(start, end, capacity)):
+                        length = min(capacity, end - at)
+                        out.append((row, piece, at - start, length, zlib.crc32(held[4 * at : 4 * (at + length)])))
+                    start = end
             row, piece, *rest = np.array(out, np.int64).reshape(-1, 5).T
             columns = [batch["doc_id"].take(pa.array(row)), pa.array(piece, pa.int32())]
             yield pa.RecordBatch.from_arrays(

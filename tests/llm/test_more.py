@@ -32,8 +32,23 @@ TEXTS = [
 
 def test_words_give_the_tokenizers_own_ids(tokenizer):
     encoder = grouped_packing.Words(public_tokenizers.path("word_bpe_49k.json"))
-    for text in TEXTS + [t for _, t, _, _ in rows() if t]:
-        assert np.frombuffer(encoder.ids(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    draw = random.Random(2)
+    marks = ["a", "É", "ß", "ſ", ".", ",", "..", "'s", "'", " ", "\n", "\x0b", "\xa0", "Z", "9", "é", "Σ", "İ", "…", "日", "-", "<", "|", "½", "\u0301"]
+    mixed = ["".join(draw.choices(marks, k=draw.randint(1, 30))) for _ in range(3000)]
+    megabyte = ["x" * 1_000_000 + " y", "é." * 300_000, ", " * 200_000]
+    texts = TEXTS + [t or "" for _, t, _, _ in rows()] + mixed + megabyte
+    ids, ends = encoder.ids(pa.array(texts))
+    for text, got in zip(texts, np.split(ids, ends[:-1]), strict=True):
+        assert got.tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
+    assert encoder.ids(pa.array([], pa.string()))[0].tolist() == []
+    sliced = pa.array(texts).slice(2, 9)
+    assert encoder.ids(sliced)[0].tolist() == ids[ends[1] : ends[10]].tolist()
+
+
+def test_texts_are_numbered_in_parts(monkeypatch):
+    monkeypatch.setattr(grouped_packing, "TEXT", 10)
+    texts = pa.array(["x", "aaaa", "bbbb", "", "c" * 40, "d", ""]).slice(1)
+    assert list(grouped_packing.parts(texts)) == [(0, 3), (3, 4), (4, 6)]
 
 
 def check_packed(got, docs, tokenizer, capacity):
