@@ -23,7 +23,9 @@ DRAWS = 1 << 13  # rows of random numbers that shingles share
 ROUGH = 0.6  # estimate that a pair needs to be verified; misses 1 in 7,800 at LEAST, the bands 1 in 4,600
 BLOCK = 2048  # rows of a block of bucket members
 FORESTS = 4  # of each tile, without a common edge, whose pairs are verified before all others
-CHUNK = 128  # nodes whose texts meet those of another chunk in one task
+CHUNK = 1 << 20  # bytes of text that meet those of another chunk in one task
+LIGHT = 512  # bytes that a text counts at least
+PAIRS = 1 << 14  # of a list
 
 _random = np.random.default_rng(6)
 _gamma_r = _random.gamma(2, 1, (DRAWS, HASHES)).astype(np.float32)
@@ -385,16 +387,20 @@ def across(members: DataFrame) -> DataFrame:
 def remaining(members: DataFrame) -> DataFrame:
     """All candidate pairs between classes: ``one, two, a, b``, lists for two chunks of nodes.
 
-    ``members`` has a column ``chunk`` more than for ``across``. Nothing is capped; the pairs
-    of a tile are at most ``BLOCK`` times ``BLOCK``.
+    ``members`` has columns ``chunk`` and ``keys`` more than for ``across``. Nothing is capped;
+    a pair is listed in the first band that it shares, and a list has at most ``PAIRS`` pairs.
     """
 
     def compare(table: pa.Table) -> pa.Table:
         found = []
         for i, j, node, _, score, ordered in candidates(table):
-            chunk = ordered["chunk"].to_numpy()
+            chunk, band = ordered["chunk"].to_numpy(), ordered["band"][int(i[0])].as_py()
+            keys = ordered["keys"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
             x, y = np.nonzero(score)
             a, b = i[x], j[y]
+            for earlier in range(band):
+                new = keys[a, earlier] != keys[b, earlier]
+                a, b = a[new], b[new]
             swap = (chunk[a] > chunk[b]) | ((chunk[a] == chunk[b]) & (node[a] > node[b]))
             a, b = np.where(swap, b, a), np.where(swap, a, b)
             found.append(np.stack([chunk[a], chunk[b], node[a], node[b]]))
@@ -402,6 +408,8 @@ def remaining(members: DataFrame) -> DataFrame:
         order = np.lexsort((two, one))
         one, two, a, b = one[order], two[order], a[order], b[order]
         new = np.flatnonzero(np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])][: len(one)])
+        ends = np.r_[new[1:], len(one)] if len(new) else new
+        new = np.concatenate([np.zeros(0, np.int64), *(np.arange(s, e, PAIRS) for s, e in zip(new, ends))])
         ends = pa.array(np.r_[new, len(one)].astype(np.int32))
         lists = [pa.ListArray.from_arrays(ends, pa.array(x, pa.int64())) for x in (a, b)]
         return pa.table({"one": pa.array(one[new]), "two": pa.array(two[new]), "a": lists[0], "b": lists[1]})
@@ -410,93 +418,105 @@ def remaining(members: DataFrame) -> DataFrame:
     return tiles(members).groupBy("left", "right").applyInArrow(compare, schema)
 
 
-def links_in(nodes: list[tuple], a: np.ndarray, b: np.ndarray, weights: Weights) -> list[tuple[int, int]]:
-    """Verified pairs of nodes ``node, class, text`` that join their classes.
-
-    Each of the pairs ``a, b`` is verified, unless those before have joined its classes.
-    """
-    nodes = sorted(nodes)
-    name = np.array([n for n, _, _ in nodes], np.int64)
-    part = np.unique([c for _, c, _ in nodes], return_inverse=True)[1]
-    sets = [shingles(text) for _, _, text in nodes]
-    ends = np.cumsum([0] + [len(h) for h, _ in sets])
-    all_hashes = np.concatenate([h for h, _ in sets])
-    weight = weights.of(all_hashes, np.concatenate([c for _, c in sets])).astype(float)
-    distinct, place = np.unique(all_hashes, return_inverse=True)
-    total = np.array([weight[s:e].sum() for s, e in zip(ends, ends[1:])])
-    pairs = np.unique(np.stack([np.searchsorted(name, a), np.searchsorted(name, b)]), axis=1)
-    # The shared weight is at most the lesser total.
-    ratio = total[pairs].min(0) / total[pairs].max(0)
-    pairs = pairs[:, ratio >= LEAST - 1e-9]
-    mine, found = np.zeros(len(distinct)), []
-    for i, at in zip(*np.unique(pairs[0], return_index=True)):
-        others = pairs[1, at : np.searchsorted(pairs[0], i, "right")]
-        own = slice(ends[i], ends[i + 1])
-        mine[place[own]] = weight[own]
-        step = 1
-        while len(others := others[part[others] != part[i]]):
-            now, others = others[:step], others[step:]
-            step *= 2
-            size = ends[now + 1] - ends[now]
-            first = np.cumsum(size) - size
-            flat = np.repeat(ends[now] - first, size) + np.arange(size.sum())
-            shared = np.add.reduceat(np.minimum(weight[flat], mine[place[flat]]), first)
-            alike = shared / (total[i] + total[now] - shared)
-            for j, value in zip(now.tolist(), alike.tolist()):
-                if abs(value - LEAST) < 1e-9:  # sums in another order
-                    value = similarity(sets[i], sets[j], weights)
-                if value >= LEAST and part[i] != part[j]:
-                    found.append((int(name[i]), int(name[j])))
-                    part[part == part[j]] = part[i]
-        mine[place[own]] = 0
-    return found
+class Judge:
+    """Verifies pairs of nodes ``node, class, text`` and joins their classes."""
+
+    def __init__(self, nodes: list[tuple], weights: Weights):
+        nodes = sorted(nodes)
+        self.weights = weights
+        self.name = np.array([n for n, _, _ in nodes], np.int64)
+        self.part = np.unique([c for _, c, _ in nodes], return_inverse=True)[1]
+        self.sets = [shingles(text) for _, _, text in nodes]
+        self.ends = np.cumsum([0] + [len(h) for h, _ in self.sets])
+        hashes = np.concatenate([h for h, _ in self.sets])
+        self.weight = weights.of(hashes, np.concatenate([c for _, c in self.sets])).astype(float)
+        distinct, self.place = np.unique(hashes, return_inverse=True)
+        self.total = np.array([self.weight[s:e].sum() for s, e in zip(self.ends, self.ends[1:])])
+        self.mine = np.zeros(len(distinct))
+
+    def links(self, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+        """Those of the pairs that are similar enough and join classes.
+
+        Each is verified, unless those before have joined its classes.
+        """
+        part, total, weight, ends, mine, found = self.part, self.total, self.weight, self.ends, self.mine, []
+        pairs = np.unique(np.stack([np.searchsorted(self.name, a), np.searchsorted(self.name, b)]), axis=1)
+        # The shared weight is at most the lesser total.
+        ratio = total[pairs].min(0) / total[pairs].max(0)
+        pairs = pairs[:, ratio >= LEAST - 1e-9]
+        for i, at in zip(*np.unique(pairs[0], return_index=True)):
+            others = pairs[1, at : np.searchsorted(pairs[0], i, "right")]
+            own = slice(ends[i], ends[i + 1])
+            mine[self.place[own]] = weight[own]
+            step = 1
+            while len(others := others[part[others] != part[i]]):
+                now, others = others[:step], others[step:]
+                step *= 2
+                size = ends[now + 1] - ends[now]
+                first = np.cumsum(size) - size
+                flat = np.repeat(ends[now] - first, size) + np.arange(size.sum())
+                shared = np.add.reduceat(np.minimum(weight[flat], mine[self.place[flat]]), first)
+                alike = shared / (total[i] + total[now] - shared)
+                for j, value in zip(now.tolist(), alike.tolist()):
+                    if abs(value - LEAST) < 1e-9:  # sums in another order
+                        value = similarity(self.sets[i], self.sets[j], self.weights)
+                    if value >= LEAST and part[i] != part[j]:
+                        found.append((int(self.name[i]), int(self.name[j])))
+                        part[part == part[j]] = part[i]
+            mine[self.place[own]] = 0
+        return found
 
 
 def settled(pairs: DataFrame, homes: DataFrame, texts: DataFrame, weights) -> DataFrame:
     """``a, b``: links among all ``pairs`` of ``remaining``, as far as they join classes.
 
     Texts come once for two chunks, not once a pair; ``homes`` is ``node, class, chunk``.
+    Where two chunks have as many pairs as a chunk may have nodes, all their texts come,
+    else only those of the pairs: either way at most about two texts a pair. The texts of two
+    chunks are held, their pairs pass by.
     """
-    both = F.explode(F.array_union("a", "b")).alias("node")
-    asked = pairs.select("one", "two", both).distinct()
-    read = asked.join(homes.select("node", "class"), "node").join(texts, "node")
+    sizes = pairs.groupBy("one", "two").agg(F.sum(F.size("a")).alias("n"))
+    most = CHUNK // LIGHT
+    sides = F.explode(F.array_distinct(F.array("one", "two"))).alias("chunk")
+    all_of = sizes.filter(F.col("n") >= most).select("one", "two", sides).join(homes, "chunk")
+    few = pairs.join(sizes.filter(F.col("n") < most), ["one", "two"])
+    few = few.select("one", "two", F.explode(F.array_union("a", "b")).alias("node")).distinct().join(homes, "node")
+    asked = all_of.select("one", "two", "node", "class").union(few.select("one", "two", "node", "class"))
+    read = asked.join(texts, "node")
     lists = pairs.select("one", "two", *(F.lit(None).cast(t).alias(c) for c, t in (("node", "long"), ("class", "long"), ("text", "string"))), "a", "b")
     none = F.lit(None).cast("array<long>")
     rows = read.select("one", "two", "node", "class", "text", none.alias("a"), none.alias("b")).union(lists)
-    rows = rows.repartition("one", "two").sortWithinPartitions("one", "two")
+    rows = rows.repartition("one", "two").sortWithinPartitions("one", "two", F.col("node").isNull())
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, at, nodes, a, b = weights.value, None, [], [], []
-
-        def judged() -> pa.RecordBatch:
-            links = links_in(nodes, np.concatenate(a), np.concatenate(b), w)
-            left, right = zip(*links) if links else ([], [])
-            return pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
-
+        at, nodes, judge = None, [], None
         for batch in batches:
+            links = []
             for one, two, node, label, text, left, right in zip(*batch.columns):
                 if at != (one.as_py(), two.as_py()):
-                    if nodes:
-                        yield judged()
-                    at, nodes, a, b = (one.as_py(), two.as_py()), [], [], []
+                    at, nodes, judge = (one.as_py(), two.as_py()), [], None
                 if node.is_valid:
                     nodes.append((node.as_py(), label.as_py(), text.as_py()))
                 else:
-                    a.append(left.values.to_numpy())
-                    b.append(right.values.to_numpy())
-        if nodes:
-            yield judged()
+                    judge = judge or Judge(nodes, weights.value)
+                    links += judge.links(left.values.to_numpy(), right.values.to_numpy())
+            left, right = zip(*links) if links else ([], [])
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
     return rows.mapInArrow(verify, "a long, b long")
 
 
-def chunked(members: DataFrame) -> DataFrame:
-    """``node, class, chunk``: nodes that share their largest bucket lie in the same chunks."""
+def chunked(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """``node, class, chunk``: nodes that share their largest bucket lie in the same chunks.
+
+    A chunk has ``CHUNK`` bytes of text, or one text more; a text counts as ``LIGHT`` bytes at least.
+    """
     sizes = members.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"))
     bucket = F.max_by(F.struct("band", "key"), F.struct("n", "band", "key")).alias("home")
     homes = members.join(sizes, ["band", "key"]).groupBy("node", "class").agg(bucket)
     homes = homes.select("home.band", "home.key", "class", "node")
-    placed = prefix_sums(homes, ["band", "key", "class", "node"], "_place", None, "homes")
+    weighed = texts.select("node", F.greatest(F.octet_length("text"), F.lit(LIGHT)).alias("bytes"))
+    placed = prefix_sums(homes.join(weighed, "node"), ["band", "key", "class", "node"], "_place", "bytes", "homes")
     return placed.select("node", "class", F.expr(f"_place div {CHUNK}").alias("chunk"))
 
 
@@ -559,8 +579,9 @@ def near_classes(docs: DataFrame) -> DataFrame:
     links = staged(links.union(verified(pairs, texts, weights)), "more-links")
     # What is still in different classes is verified pair by pair.
     apart = labelled(components(links, "forests"))
-    homes = staged(chunked(apart), "homes")
-    rest = staged(remaining(apart.join(homes.select("node", "chunk"), "node")), "remaining")
+    homes = staged(chunked(apart, texts), "homes")
+    known = homes.select("node", "chunk").join(nodes.select("node", "keys"), "node")
+    rest = staged(remaining(apart.join(known, "node")), "remaining")
     last = staged(settled(rest, homes, texts, weights), "last-links")
     classes = components(links.union(last), "all")
 

@@ -261,6 +261,29 @@ def test_every_pair_of_a_group_without_its_original(spark, monkeypatch):
     assert sorted(got) == sorted(want)
 
 
+@pytest.mark.parametrize("chunk, pairs, light", [(4000, 7, 512), (1 << 20, 50, 512), (4000, 1 << 14, 4000)])
+def test_pairs_are_judged_once_whatever_bands_and_chunks(spark, monkeypatch, chunk, pairs, light):
+    for name, value in (("FORESTS", 0), ("BLOCK", 64), ("CHUNK", chunk), ("PAIRS", pairs), ("LIGHT", light)):
+        monkeypatch.setattr(weighted_minhash, name, value)
+    listed, whole = [], weighted_minhash.remaining
+
+    def noted(members):
+        out = common.staged(whole(members), "noted")
+        listed.extend(out.collect())
+        return out
+
+    monkeypatch.setattr(weighted_minhash, "remaining", noted)
+    docs = template_docs()[:200]
+    table = frame(spark, docs)
+    frequencies, n = weighted_minhash.document_frequencies(common.pick(table, text="text"))
+    want = brute_classes(docs, weighted_minhash.Weights(frequencies, n))
+    got = [(r["doc_id"], r["class_id"]) for r in weighted_minhash.near_classes(table).collect()]
+    assert sorted(got) == sorted(want)
+    met = Counter(p for r in listed for p in zip(r["a"], r["b"]))
+    assert len(met) > 1000 and set(met.values()) == {1}
+    assert max(len(r["a"]) for r in listed) <= pairs and all(r["one"] <= r["two"] for r in listed)
+
+
 def test_forest_of_two_sides():
     score = np.array([[9, 0, 3], [8, 0, 4]], np.uint8)
     edges = set(weighted_minhash.forest(score, np.array([1, 2]), np.array([3, 4, 2])))
