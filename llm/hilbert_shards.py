@@ -98,9 +98,10 @@ def shard(docs: DataFrame, shards: int = 16, bits: int = BITS) -> DataFrame:
     """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` and the curve's ``hilbert``.
 
     Source and language (by their place among all rows in code point order) and size (by
-    its logarithm) are quantised, the rows sorted along the curve, ties by ``doc_id``,
-    and cut into runs under the law ``rows``: counts differ by one at most. ``slot`` is
-    the place in the run. A null text has size 1 and the checksum of no bytes; null
+    its logarithm) are quantised, the rows sorted along the curve and cut into runs under
+    the law ``rows``: counts differ by one at most. ``slot`` is the place in the run. Ties
+    go by checksum, then size and ``doc_id``, so equal texts of a cell lie together; of
+    another source or language they lie where those do. A null text has size 1 and the checksum of no bytes; null
     sources and languages are a value of their own; an empty table gives no rows.
     Texts are read once, only the metadata is sorted.
     """
@@ -121,7 +122,7 @@ def shard(docs: DataFrame, shards: int = 16, bits: int = BITS) -> DataFrame:
         hilbert_index([F.col("_source"), F.col("_lang"), F.least(log, F.lit((1 << bits) - 1))], bits),
     ).select("doc_id", "size", "text_crc32", "hilbert")
     ranked = prefix_sums(
-        staged(curve, "curve"), ["hilbert", "doc_id", "size", "text_crc32"], "_rank", None, "ranked"
+        staged(curve, "curve"), ["hilbert", "text_crc32", "size", "doc_id"], "_rank", None, "ranked"
     )
     at = F.expr(f"cast(_rank * {shards} div {max(rows, 1)}L as int)")
     return ranked.select("doc_id", "size", "text_crc32", "hilbert", "_rank", at.alias("shard")).select(
@@ -140,15 +141,86 @@ def write_shards(docs: DataFrame, path: str, shards: int = 16) -> None:
     """All columns of ``docs`` (one row per ``doc_id``) as one folder a shard, in curve order.
 
     Each run is rebalanced into files of Spark's advisory size, each a stretch of the
-    curve, so the minima and maxima of all dimensions in their footers prune files.
+    curve, so the minima and maxima of all dimensions in their footers prune files. Names
+    that differ by case only get their place as a suffix (``text``, ``Text_1``), the four
+    that ``shard`` reads never.
     """
     placed = shard(docs, shards).select(
         F.col("doc_id").alias("_doc"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot")
     )
-    joined = docs.join(placed, docs["doc_id"].eqNullSafe(F.col("_doc"))).drop("_doc")
-    joined.repartitionByRange("_shard", "_slot").sortWithinPartitions("_shard", "_slot").drop(
-        "_slot"
-    ).write.partitionBy("_shard").parquet(path)
+    names = docs.columns
+    plain = docs.toDF(*(f"_c{i}" for i in range(len(names))))
+    key = F.col(f"_c{names.index('doc_id')}").cast("long")
+    joined = plain.join(placed, key.eqNullSafe(F.col("_doc"))).drop("_doc")
+    ordered = joined.repartitionByRange("_shard", "_slot").sortWithinPartitions("_shard", "_slot").drop("_slot")
+    met = {"_shard", "doc_id", "text", "lang", "source"}
+    for i, name in enumerate(names):
+        if name.lower() in met and name not in ("doc_id", "text", "lang", "source"):
+            name = f"{name}_{i}"
+        met.add(name.lower())
+        ordered = ordered.withColumnRenamed(f"_c{i}", name)
+    ordered.write.partitionBy("_shard").parquet(path)
+
+
+def hilbert_sql(rows: str, cells: list[str], bits: int = BITS) -> str:
+    """CTEs ``s0, s1 ... curve``: ``rows`` with the Hilbert index of its columns ``cells``, step by step."""
+    n, x = len(cells), [f"x{a}" for a in range(len(cells))]
+    steps = [f"s0 AS (SELECT *, {', '.join(f'CAST({c} AS BIGINT) AS {v}' for c, v in zip(cells, x))} FROM {rows})"]
+
+    def step(values: dict[str, str]) -> None:
+        replaced = ", ".join(f"{value} AS {name}" for name, value in values.items())
+        steps.append(f"s{len(steps)} AS (SELECT * REPLACE ({replaced}) FROM s{len(steps) - 1})")
+
+    for b in range(bits - 1, 0, -1):
+        for a in range(n):
+            bit, mask, swap = 1 << b, (1 << b) - 1, f"(xor(x0, x{a}) & {(1 << b) - 1})"
+            if a:
+                step({
+                    "x0": f"CASE WHEN x{a} & {bit} <> 0 THEN xor(x0, {mask}) ELSE xor(x0, {swap}) END",
+                    x[a]: f"CASE WHEN x{a} & {bit} <> 0 THEN x{a} ELSE xor(x{a}, {swap}) END",
+                })
+            else:
+                step({"x0": f"CASE WHEN x0 & {bit} <> 0 THEN xor(x0, {mask}) ELSE x0 END"})
+    for a in range(1, n):
+        step({x[a]: f"xor(x{a}, x{a - 1})"})
+    turn = "0"
+    for b in range(bits - 1, 0, -1):
+        turn = f"xor({turn}, CASE WHEN {x[-1]} & {1 << b} <> 0 THEN {(1 << b) - 1} ELSE 0 END)"
+    step({v: f"xor({v}, {turn})" for v in x})
+    places = [f"(((x{a} >> {b}) & 1) << {b * n + n - 1 - a})" for b in range(bits) for a in range(n)]
+    steps.append(f"curve AS (SELECT *, CAST({' + '.join(places)} AS BIGINT) AS hilbert FROM s{len(steps) - 1})")
+    return ", ".join(steps)
+
+
+def bins_sql(column: str) -> str:
+    return f"(SELECT {column}, (sum(count(*)) OVER (ORDER BY {column} NULLS FIRST) - count(*)) * {1 << BITS} // (SELECT count(*) FROM documents) AS bin FROM documents GROUP BY {column})"
+
+
+_bit = "CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
+_byte = f"list_reduce([xor(a, b)] || range(8), lambda x, y: {_bit})"
+_bytes = "list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda x: CAST('0x' || x AS BIGINT))"
+ORACLE = f"""
+    WITH texts AS (
+        SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents
+    ), metadata AS (
+        SELECT doc_id, lang, source, CAST(strlen(text) + 1 AS BIGINT) AS size,
+               xor(list_reduce([CAST(4294967295 AS BIGINT)] || {_bytes}, lambda a, b: {_byte}), 4294967295) AS text_crc32
+        FROM texts
+    ), cells AS (
+        SELECT metadata.*, s.bin AS of_source, l.bin AS of_lang,
+               least(floor(ln(size) / ln(2) * {1 << BITS} / 64), {(1 << BITS) - 1}) AS of_size
+        FROM metadata JOIN {bins_sql("source")} s ON metadata.source IS NOT DISTINCT FROM s.source
+             JOIN {bins_sql("lang")} l ON metadata.lang IS NOT DISTINCT FROM l.lang
+    ), {hilbert_sql("cells", ["of_source", "of_lang", "of_size"])}, ranked AS (
+        SELECT *, count(*) OVER () AS n,
+               row_number() OVER (ORDER BY hilbert, text_crc32, size, doc_id NULLS FIRST) - 1 AS place
+        FROM curve
+    )
+    SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(place * 16 // n AS INTEGER) AS shard,
+           CAST(place - (place * 16 // n * n + 15) // 16 AS BIGINT) AS slot,
+           CAST(NULL AS INTEGER) AS grown_shard, hilbert
+    FROM ranked
+"""
 
 
 def op3_hilbert_shards(spark, sf_dir: str) -> DataFrame:

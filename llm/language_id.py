@@ -14,11 +14,12 @@ from llm.common import pick
 
 BITS = 14  # of a subword's hash
 WIDTH = 16  # of an embedding
-SAMPLED = 512  # labelled documents of each language, at most, that the model is fitted on
+SAMPLED = 768  # different labelled documents of each language, at most, a third of them for calibration
 EPOCHS = 30
 RATE = 20.0
+RARE = 1e-6  # share that every subword has at least
 REJECTED = 0.001  # share of the known languages' documents that calibration gives up
-MARGIN = 0.1
+SLACK = 5.0  # over the root of the rows aside: of the way from their median to that share, which the floor lies lower
 PIECE = 1 << 20  # characters of a text that are hashed at a time
 UNKNOWN = "und"
 
@@ -30,10 +31,10 @@ LETTERS[128:] = np.arange(128, 256)
 
 class Model(NamedTuple):
     languages: list[str]
-    table: np.ndarray  # subword -> logits: the embeddings times the softmax layer
+    table: np.ndarray  # subword -> logits (the embeddings times the softmax layer) and commonness
     bias: np.ndarray
     heat: float  # temperature of the calibrated probabilities
-    floor: float  # scores below are rejected
+    floor: float  # texts of a lower commonness are rejected
 
 
 def subwords(text: str) -> Iterator[np.ndarray]:
@@ -56,9 +57,9 @@ def subwords(text: str) -> Iterator[np.ndarray]:
             yield ((h[whole[: len(h)]] ^ np.uint32(n * 0x3C6EF372)) * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)
 
 
-def logits(texts: pd.Series, model: Model) -> np.ndarray:
-    """Mean logits over the subwords of each text."""
-    out = np.zeros((len(texts), len(model.languages)))
+def logits(texts: pd.Series, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Mean logits and mean commonness over the subwords of each text."""
+    out = np.zeros((len(texts), len(model.languages) + 1))
     for i, text in enumerate(texts):
         n = 0
         for part in subwords(text):
@@ -66,8 +67,8 @@ def logits(texts: pd.Series, model: Model) -> np.ndarray:
             counts = np.bincount(part, minlength=1 << BITS) if len(part) > 1 << BITS else None
             out[i] += model.table[part].sum(0) if counts is None else counts @ model.table
             n += len(part)
-        out[i] = out[i] / max(n, 1) + model.bias
-    return out
+        out[i] /= max(n, 1)
+    return out[:, :-1] + model.bias, out[:, -1]
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -86,13 +87,20 @@ def dense(rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
 def fit(shares: list[tuple], y: np.ndarray, languages: list[str], seed: int = 7) -> Model:
     """A model of subword ``shares`` with classes ``y``, by stochastic gradient descent.
 
-    A fifth of the rows is kept aside for calibration: the temperature with the least
-    log loss, and the score that only ``REJECTED`` of them fall short of, but no more than
-    ``MARGIN`` above a blind guess.
+    A third of each language's rows is kept aside for calibration: the temperature with the least log
+    loss, and the floor. A probability can't tell an unknown language, as the known ones
+    share all of it. What can is how common a text's subwords are: a subword's commonness is
+    the logarithm of its share in the language that has most of it, so a text of two known
+    languages is as common as one of either. The floor is the mean commonness that only
+    ``REJECTED`` of the rows aside fall short of, and the lower the fewer they are.
+    Without rows aside nothing is rejected.
     """
     random, k = np.random.default_rng(seed), len(languages)
     order = random.permutation(len(y))
-    aside, own = order[: len(y) // 5], order[len(y) // 5 :]
+    place = np.zeros(len(y), int)  # of a row among its language's
+    for c in range(k):
+        place[order[y[order] == c]] = np.arange(np.sum(y == c))
+    aside, own = order[place[order] % 3 == 2], order[place[order] % 3 != 2]
     emb = random.uniform(-1 / WIDTH, 1 / WIDTH, (1 << BITS, WIDTH)).astype(np.float32)
     out, bias = np.zeros((WIDTH, k), np.float32), np.zeros(k, np.float32)
     steps = 0
@@ -111,13 +119,20 @@ def fit(shares: list[tuple], y: np.ndarray, languages: list[str], seed: int = 7)
             bias -= 0.1 * wrong.sum(0)
             steps += 1
     table = emb @ out
+    common = np.zeros((k, 1 << BITS))
+    for i in own:
+        common[y[i], shares[i][0]] += shares[i][1]
+    common = np.log((common / np.maximum(common.sum(1, keepdims=True), RARE)).max(0) + RARE)
     z = np.array([share @ table[at] for at, share in (shares[i] for i in aside)]).reshape(-1, k) + bias
     heats = np.geomspace(0.05, 20, 60)
     loss = [-np.log(softmax(z / t)[np.arange(len(z)), y[aside]] + 1e-12).mean() if len(z) else 0 for t in heats]
     heat = float(heats[int(np.argmin(loss))]) if len(z) else 1.0
-    best = softmax(z / heat).max(1) if len(z) else np.zeros(0)
-    floor = min(1 / k + MARGIN, float(np.quantile(best, REJECTED))) if len(best) else 0.0
-    return Model(languages, table.astype(np.float32), bias, heat, floor)
+    floor = -np.inf
+    if len(aside):
+        low, middle = np.quantile([share @ common[at] for at, share in (shares[i] for i in aside)], [REJECTED, 0.5])
+        floor = float(low - SLACK / np.sqrt(len(aside)) * (middle - low))
+    table = np.column_stack([table, common]).astype(np.float32)
+    return Model(languages, table, bias, heat, floor)
 
 
 def held_out() -> Column:
@@ -128,39 +143,45 @@ def held_out() -> Column:
 def train(docs: DataFrame) -> Model:
     """A model of the labelled documents (``doc_id, text, lang``) that are not held out.
 
-    It is fitted on a bounded sample: of each language at most ``SAMPLED`` documents, by
-    the order of a hash of the id. Executors hash their whole texts; what reaches the
-    driver are at most ``2**BITS`` counts a document.
+    It is fitted on a bounded sample: of each language at most ``SAMPLED`` different
+    documents, by the order of a hash of id and text, and always the least, so no language
+    is lost. Rows that repeat both count once; one document alone teaches little. Executors hash their whole texts; what
+    reaches the driver are at most ``2**BITS`` counts a document.
     """
-    own = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    sizes = {r["lang"]: r["count"] for r in own.groupBy("lang").count().collect()}
+    own = pick(docs, doc_id="doc_id", text="text", lang="lang")
+    own = own.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
+    own = own.select("lang", "text", F.xxhash64("doc_id", "text").alias("name"))
+    place = F.pmod(F.col("name"), F.lit(1 << 40))
+    sizes = own.groupBy("lang").agg(F.approx_count_distinct("name").alias("n"), F.min(place).alias("least")).collect()
     if not sizes:
-        return Model([], np.zeros((1 << BITS, 0), np.float32), np.zeros(0), 1.0, 0.0)
-    share = F.lit(0.0)
-    for lang, n in sizes.items():
-        share = F.when(F.col("lang") == lang, min(1.0, 1.3 * SAMPLED / n)).otherwise(share)
-    hashed = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000))
-    chosen = own.withColumn("place", hashed).filter(F.col("place") < share * 1_000_000)
-    chosen = chosen.select("doc_id", "place", "lang", "text").limit(2 * SAMPLED * len(sizes))
+        return Model([], np.zeros((1 << BITS, 1), np.float32), np.zeros(0), 1.0, 0.0)
+    # Half as many again, since numbers are estimates. One row for each language, as in the model.
+    ends = [(r["lang"], max(r["least"], int(min(1.0, 1.5 * SAMPLED / r["n"]) * (1 << 40)))) for r in sizes]
+    ends = docs.sparkSession.createDataFrame(ends, "lang string, end long")
+    chosen = own.withColumn("place", place).join(F.broadcast(ends), "lang").filter("place <= end")
 
     def counted(batches):
+        met = set()  # copies of a document are hashed once a task
         for batch in batches:
             rows = []
-            for text in batch["text"]:
+            for lang, place, name, text in zip(batch["lang"], batch["place"], batch["name"], batch["text"]):
+                if (lang, name) in met:
+                    continue
+                met.add((lang, name))
                 counts = np.zeros(1 << BITS, np.int64)
                 for part in subwords(text):
                     counts += np.bincount(part, minlength=1 << BITS)
                 at = np.flatnonzero(counts)
                 value = (counts[at] / max(counts.sum(), 1)).astype(np.float32)
-                rows.append((at.astype(np.uint16).tobytes(), value.tobytes()))
-            yield pd.DataFrame(rows, columns=["at", "share"]).assign(
-                doc_id=batch["doc_id"].values, place=batch["place"].values, lang=batch["lang"].values
-            )[["doc_id", "place", "lang", "at", "share"]]
+                rows.append((lang, place, name, at.astype(np.uint16).tobytes(), value.tobytes()))
+            yield pd.DataFrame(rows, columns=["lang", "place", "name", "at", "share"])
 
-    sample = chosen.mapInPandas(counted, "doc_id long, place long, lang string, at binary, share binary")
-    rows = sorted(sample.collect(), key=lambda r: (r["lang"], r["place"], r["doc_id"] or 0, bytes(r["at"])))
+    sample = chosen.select("lang", "place", "name", "text").mapInPandas(
+        counted, "lang string, place long, name long, at binary, share binary"
+    )
+    rows = sample.dropDuplicates(["lang", "name"]).collect()
     taken: dict[str, list] = {}
-    for r in rows:
+    for r in sorted(rows, key=lambda r: (r["lang"], r["place"], r["name"])):
         if len(taken.setdefault(r["lang"], [])) < SAMPLED:
             taken[r["lang"]].append(r)
     languages = sorted(taken)
@@ -176,13 +197,17 @@ def train(docs: DataFrame) -> Model:
 def predicted(text: Column, model: Model) -> Column:
     """Struct ``lang, score, rejected`` of a whole text; null or letterless text is ``und``."""
 
-    @F.pandas_udf("lang string, score double")
+    @F.pandas_udf("lang string, score double, rejected boolean")
     def classify(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            p = softmax(logits(texts, model) / model.heat)
-            best = p.argmax(1)
+            z, common = logits(texts, model)
+            best = z.argmax(1)
             yield pd.DataFrame(
-                {"lang": np.array(model.languages, object)[best], "score": p[np.arange(len(p)), best]}
+                {
+                    "lang": np.array(model.languages, object)[best],
+                    "score": softmax(z / model.heat).max(1),
+                    "rejected": common < model.floor,
+                }
             )
 
     unknown = F.struct(F.lit(UNKNOWN).alias("lang"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"))
@@ -191,21 +216,15 @@ def predicted(text: Column, model: Model) -> Column:
     # Python sees every row; what has no letter is decided here.
     guess = F.struct(classify(F.coalesce(text, F.lit(""))).alias("guess"))["guess"]
     known = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
-    return F.when(
-        known,
-        F.struct(
-            guess["lang"].alias("lang"),
-            guess["score"].alias("score"),
-            (guess["score"] < model.floor).alias("rejected"),
-        ),
-    ).otherwise(unknown)
+    return F.when(known, guess).otherwise(unknown)
 
 
 def identify(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, lang_pred, score, rejected`` for each row of ``docs``.
 
     Null labels teach nothing; without any label all is ``und``. ``und`` has score 0 and
-    is rejected. An empty table gives no rows; repeated rows are judged each.
+    is rejected. An empty table gives no rows; repeated rows are judged each. A text of any
+    length counts whole, hashed a piece at a time; of equal logits the first language wins.
     """
     rows = pick(docs, doc_id="doc_id", text="text", lang="lang").withColumn(
         "doc_id", F.col("doc_id").cast("long")
@@ -222,10 +241,16 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def known_language(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, whose language the model does not reject."""
-    rows = pick(docs, doc_id="doc_id", text="text", lang="lang")
-    model = train(rows)
-    return docs.filter(~predicted(docs["text"], model)["rejected"])
+    """The rows of ``docs``, all columns, whose language the model does not reject.
+
+    Null and letterless texts go, each of repeated rows is judged alike; further columns,
+    also of clashing names, stay. Without any label no row is left.
+    """
+    model = train(docs)
+    names = docs.columns
+    plain = docs.toDF(*(f"_c{i}" for i in range(len(names))))
+    text = F.col(f"_c{names.index('text')}")
+    return plain.filter(~predicted(text, model)["rejected"]).toDF(*names)
 
 
 def op10_language_id(spark, sf_dir: str) -> DataFrame:

@@ -38,7 +38,9 @@ QUERIES = {
 ORACLES = {
     "op1_secret_scan": secret_scan.ORACLE,
     "op2_suffix_dedup": suffix_dedup.ORACLE,
+    "op3_hilbert_shards": hilbert_shards.ORACLE,
     "op4_content_sort_dedup": content_sort_dedup.ORACLE,
+    "op7_source_mix": source_mix.ORACLE,
     "op8_metric_tree": metric_tree.ORACLE,
     "op9_warc_index": warc_index.ORACLE,
     "op11_prefix_trie": prefix_trie.ORACLE,

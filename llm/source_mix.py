@@ -86,6 +86,45 @@ def mix(
     )
 
 
+ORACLE = f"""
+    WITH RECURSIVE sized AS (
+        SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size,
+               md5(concat_ws(':', '{SEED}', CAST(doc_id AS VARCHAR))) AS key
+        FROM documents
+    ), sources AS (
+        SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+               CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS DOUBLE) AS weight
+        FROM sized GROUP BY source
+    ), levels AS (
+        SELECT CAST(0 AS DOUBLE) AS level
+        UNION ALL
+        SELECT raised FROM (
+            SELECT level, (sum(source_size) - coalesce(sum(source_size * {MOST}) FILTER (full_up), 0))
+                          / CAST(sum(weight) FILTER (NOT full_up) AS DOUBLE) AS raised
+            FROM (SELECT *, source_size * {MOST} <= weight * level AS full_up FROM levels, sources)
+            GROUP BY level
+        ) WHERE raised > level
+    ), targets AS (
+        SELECT source, source_size,
+               least(CAST(source_size * {MOST} AS DOUBLE), weight * (SELECT max(level) FROM levels)) AS target
+        FROM sources
+    ), placed AS (
+        SELECT doc_id, size, source_size, target, CAST(floor(target + 0.5) AS BIGINT) AS budget,
+               CAST(sum(size) OVER (PARTITION BY source ORDER BY key, doc_id NULLS FIRST, size
+                                    ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS earlier
+        FROM sized JOIN targets USING (source)
+        UNION ALL
+        SELECT doc_id, size, source_size, target, CAST(floor(target + 0.5) AS BIGINT),
+               CAST(sum(size) OVER (ORDER BY key, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) AS BIGINT) - size
+        FROM sized JOIN targets ON sized.source IS NULL AND targets.source IS NULL
+    )
+    SELECT doc_id, size, source_size, target,
+           CASE WHEN source_size = 0 THEN 0 ELSE budget // source_size * size
+                + least(greatest(budget % source_size - earlier, 0), size) END AS taken
+    FROM placed
+"""
+
+
 def op7_source_mix(spark, sf_dir: str) -> DataFrame:
     mixed = mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")

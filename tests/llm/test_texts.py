@@ -267,3 +267,78 @@ def test_unknown_language_and_edges(spark):
     no_labels = [(1, "some text", None, None), (2, "12", None, None)]
     assert {r["lang_pred"] for r in language_id.identify(frame(spark, no_labels)).collect()} == {"und"}
     assert language_id.identify(frame(spark, [])).count() == 0
+
+
+def plain_logits(text, model):
+    """Mean of the table's rows over all 2- to 4-byte grams, one after another."""
+    letters = [b if 97 <= b <= 122 or b >= 128 else 32 for b in (text.lower() + " ").encode()]
+    letters = [b for i, b in enumerate(letters) if b != 32 or (i and letters[i - 1] != 32)]
+    total, n = np.zeros(len(model.languages) + 1), 0
+    for size in (2, 3, 4):
+        for i in range(len(letters) - size + 1):
+            gram = letters[i : i + size]
+            if 32 in gram[1:-1]:
+                continue
+            h = 0
+            for b in gram:
+                h = (h * 0x01000193 + b) % 2**32
+            h = (h ^ (size * 0x3C6EF372 % 2**32)) * 0x9E3779B1 % 2**32
+            total += model.table[h >> (32 - language_id.BITS)]
+            n += 1
+    return total[:-1] / max(n, 1) + model.bias, total[-1] / max(n, 1)
+
+
+def test_predictions_equal_a_recount_from_the_models_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language_id.train(docs)
+    texts = docs.select("doc_id", "text", language_id.predicted(docs["text"], model).alias("p")).collect()
+    assert len(texts) == docs.count()
+    for r in texts[::7]:
+        z, common = plain_logits(r["text"] or "", model)
+        if not any(c.isalpha() for c in r["text"] or ""):
+            assert r["p"]["lang"] == "und"
+            continue
+        p = np.exp((z - z.max()) / model.heat)
+        assert r["p"]["lang"] == model.languages[z.argmax()]
+        assert r["p"]["score"] == pytest.approx(p.max() / p.sum(), abs=1e-3)
+        if abs(common - model.floor) > 1e-3:
+            assert r["p"]["rejected"] == (common < model.floor)
+
+
+@pytest.mark.parametrize("unknown", ["de", "en", "es", "fr"])
+def test_an_unknown_language_is_rejected_and_known_ones_are_not(spark, unknown):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("text is not null")
+    model = language_id.train(docs.filter(docs["lang"] != unknown))
+    judged = docs.select("lang", language_id.held_out().alias("out"), language_id.predicted(docs["text"], model).alias("p"))
+    rows = judged.collect()
+    assert np.mean([r["p"]["rejected"] for r in rows if r["lang"] == unknown]) > 0.9
+    assert np.mean([r["p"]["rejected"] for r in rows if r["lang"] != unknown and r["out"]]) < 0.02
+
+
+def test_no_language_is_lost_for_a_repeated_id_or_text(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("text is not null")
+    others = [(r["doc_id"], r["text"], r["lang"], None) for r in docs.filter("lang in ('en', 'fr')").collect()]
+    german = [r["text"] for r in docs.filter("lang = 'de'").collect()]
+    for learnable in (8, 9, 11, 12):
+        found = others + [(learnable, t, "de", None) for t in german]
+        model = language_id.train(frame(spark, found))
+        assert model.languages == ["de", "en", "fr"]
+        z, _ = language_id.logits(german, model)
+        assert np.mean(z.argmax(1) == 0) > 0.97
+    copies = others + [(8, german[0], "de", None)] * 500
+    model = language_id.train(frame(spark, copies))
+    assert "de" in model.languages  # known, though one document among hundreds teaches little
+
+
+def test_reruns_give_one_model_and_clashing_columns_pass(spark):
+    one, two = language_id.train(frame(spark)), language_id.train(frame(spark).repartition(5))
+    assert one.languages == two.languages and np.array_equal(one.table, two.table)
+    kept = language_id.known_language(frame(spark))
+    assert kept.columns == frame(spark).columns
+    assert {4, 5}.isdisjoint(r[1] for r in kept.collect())
+
+
+def test_shards_of_clashing_columns_are_written(spark, folder):
+    hilbert_shards.write_shards(frame(spark, [(1, "a", "en", "x"), (2, None, None, None)]), f"{folder}/clash", 2)
+    got = spark.read.parquet(f"{folder}/clash")
+    assert {(r["doc_id"], r["text"], r["Text_0"]) for r in got.collect()} == {(1, "a", "extra"), (2, None, "extra")}
