@@ -336,7 +336,7 @@ VECTORS = StructType(
 def test_products_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(metric_tree, "SUBTREE", 64)
     monkeypatch.setattr(metric_tree, "TOGETHER", 2)
-    monkeypatch.setattr(metric_tree, "BLOCK", 3)
+    monkeypatch.setattr(metric_tree, "FANOUT", 3)
     draw = np.random.default_rng(4)
     vectors = [(i, draw.normal(0, 0.3, 8).astype(np.float32).tolist()) for i in range(700)]
     vectors += [(700 + i, [0.5] * 8) for i in range(200)] + [(950, [2.0] * 8), (1000, [])]
@@ -354,6 +354,51 @@ def test_products_equal_brute_force(spark, monkeypatch):
     assert not got
 
 
+def test_products_beyond_a_long_are_its_limits(spark):
+    big = [(0, [1e16, 2.0]), (50, [-1e16, 0.5]), (1, [3e15, 1.0]), (2, [1.0, 1.0]), (3, [float(1e30), 0.0])]
+    table = spark.createDataFrame([("x", i, v, "y") for i, v in big], VECTORS)
+    rows = metric_tree.whole_vectors(table)
+    whole = {r["vec_id"]: r["v"] for r in rows.collect()}
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in metric_tree.top_products(rows, F.col("vec_id") % 50 == 0).collect()}
+    for q in (0, 50):
+        scores = [(sum(a * b for a, b in zip(whole[q], whole[i])), i) for i in whole if i != q]
+        scores = [(max(-(2**63) + 1, min(2**63 - 1, s)), i) for s, i in scores]
+        for rank, (s, i) in enumerate(sorted(scores, key=lambda x: (-x[0], x[1])), 1):
+            assert got.pop((q, rank)) == (i, s)
+    assert not got
+
+
+def test_queries_go_only_where_their_bound_leads(spark, monkeypatch):
+    """Clusters far apart: few nodes are read, with levels above the subtrees or without."""
+    monkeypatch.setattr(metric_tree, "SUBTREE", 32)
+    monkeypatch.setattr(metric_tree, "TOGETHER", 1)
+    draw = np.random.default_rng(6)
+    centres = draw.normal(0, 1, (30, 8))
+    centres *= 40 / np.linalg.norm(centres, axis=1)[:, None]
+    v = np.concatenate([c + draw.normal(0, 0.05, (64, 8)) for c in centres]).astype(np.float32)
+    table = spark.createDataFrame([("x", i, x.tolist(), "y") for i, x in enumerate(v)], VECTORS)
+    whole = np.floor(256 * v.astype(np.float64)).astype(np.int64)
+    meeting, met = metric_tree.meeting, []
+
+    def counted(nodes, packets, meet, schema):
+        met.append((packets.select("node", "block").distinct().count(), nodes.count(), packets.select("block").distinct().count()))
+        return meeting(nodes, packets, meet, schema)
+
+    monkeypatch.setattr(metric_tree, "meeting", counted)
+    for fanout in (256, 4):
+        met.clear()
+        monkeypatch.setattr(metric_tree, "FANOUT", fanout)
+        got = defaultdict(list)
+        for r in metric_tree.top_products(metric_tree.whole_vectors(table), F.col("vec_id") % 50 == 0).collect():
+            got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+        for q in range(0, len(v), 50):
+            best = sorted((-int(s), i) for i, s in enumerate(whole @ whole[q]) if i != q)[:5]
+            assert sorted(got[q]) == [(k + 1, i, -s) for k, (s, i) in enumerate(best)]
+        read, nodes, blocks = met[-1]  # the subtrees
+        assert read < nodes * blocks / 4
+        assert len(met) == 1 if fanout == 256 else len(met) > 2
+
+
 def test_few_or_no_vectors(spark):
     empty = spark.createDataFrame([], VECTORS)
     ask = F.col("vec_id") % 50 == 0
