@@ -15,13 +15,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import pick, shared_folder, staged
+from llm.common import pick, shared_folder, staged, width
 
 LEAST = 1000  # bytes of a payload that is worth a revisit record
 DATE = "2024-01-01T00:00:00Z"
 GAP = 64 << 10  # bytes between two records that one read may pass over
 READ = 8 << 20  # bytes of a coalesced read
 ARCHIVE = 1 << 30  # bytes of an archive before the next begins
+SHARE = 64 << 20  # bytes of archives that one task reads back, about
 PRINTABLE = "".join(map(chr, range(0x21, 0x7F)))
 
 INDEX = "page_id long, url string, digest string, archive string, offset long, length long"
@@ -170,7 +171,8 @@ def read_records(index: DataFrame, payloads: bool = True) -> DataFrame:
     """The records that ``index`` (all or selected rows of it) names, read and checked.
 
     ``page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload``. The
-    byte ranges are range-partitioned and sorted by archive and offset; neighbours less
+    byte ranges are dealt to tasks by the sum of their lengths, which reads the index once more,
+    range-partitioned and sorted by archive and offset; neighbours less
     than ``GAP`` apart are one read of up to about ``READ`` bytes. A revisit has the size
     and digest of the full payload, and no payload. ``payloads=False`` leaves them out.
     """
@@ -208,7 +210,11 @@ def read_records(index: DataFrame, payloads: bool = True) -> DataFrame:
         if run:
             yield fetched(run)
 
-    ranges = index.select("url", "archive", "offset", "length").repartitionByRange("archive", "offset")
+    wanted = index.select("url", "archive", "offset", "length")
+    # By the bytes of the archives: those of the index, which Spark sees, say little of the work.
+    total = wanted.agg(F.sum("length")).first()[0] or 0
+    tasks = max(width(index.sparkSession), -(-total // SHARE))
+    ranges = wanted.repartitionByRange(tasks, "archive", "offset")
     return ranges.sortWithinPartitions("archive", "offset").mapInArrow(read, READ_BACK)
 
 
