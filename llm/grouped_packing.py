@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import functools
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -24,19 +24,30 @@ GROUPS = 128  # of large pieces; bounds what the driver optimises
 DEALT = 30_000  # pieces and open sequences in a task of the best fit
 CACHED = 1_000_000  # words whose ids a worker remembers
 AT_ONCE = 10_000  # words that go to the tokenizer together
-TEXT = 1 << 22  # bytes of text whose words are numbered at once
+JOINED = 100  # words in one of its texts
+TEXT = 1 << 23  # bytes of text whose words are numbered at once
 
 
-class Words(dict):
+def binary(ends: np.ndarray, ids: np.ndarray) -> pa.Array:
+    """Ids as little-endian bytes, parted after the given numbers of ids."""
+    offsets = np.concatenate([[0], 4 * ends.astype(np.int64)])
+    held = [None, pa.py_buffer(offsets), pa.py_buffer(ids.astype("<u4"))]
+    return pa.Array.from_buffers(pa.large_binary(), len(ends), held)
+
+
+class Words:
     """Ids of words between white space, as little-endian bytes, by the real tokenizer.
 
     The tokenizer drops white space, and neither its normaliser nor its patterns look
-    across it, so words are encoded one by one and remembered. It lower-cases letters, and
+    across it, so words are encoded apart and remembered. It lower-cases letters, and
     parts them from full stops and commas, so both is done before, and a word has fewer forms.
-    ASCII words are parted once more, as the tokenizer does, into runs that recur far more often.
+    Words of plain letters and marks share a text: the tokenizer parts them into runs, and
+    the last id of a run is one of those that end a word.
     """
 
-    RUN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+    # The tokenizer's runs, and the words that have no other letters and marks than these.
+    RUN = "'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÖØ-öø-ÿ]+|[0-9]|[^a-z0-9À-ÖØ-öø-ÿ]+"
+    PLAIN = "^[!-@\\[-~À-ÖØ-öø-ÿ]*$"
     # What Python takes for white space and the tokenizer doesn't, and the tokenizer's own marks.
     WHOLE = "[\x1c-\x1f]|<\\|"
     # A letter, but not the one whose lower case ends in a mark; stops; the end of the word.
@@ -46,34 +57,54 @@ class Words(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.runs = Tokenizer.from_file(path), {}
-
-    def encoded(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(f.ids, "<u4").tobytes() for f in found]
-
-    def of(self, words: list[str]) -> list[bytes]:
-        """The ids of each of the words; new ones go to the tokenizer together."""
-        if len(self) >= CACHED:
-            self.clear()
-        if len(self.runs) >= CACHED:
-            self.runs.clear()
-        new = [w for w in words if w not in self]
-        parted = {w: self.RUN.findall(w) for w in new if w.isascii()}
-        unknown = list({r for runs in parted.values() for r in runs if r not in self.runs})
-        for at in range(0, len(unknown), AT_ONCE):
-            self.runs.update(zip(unknown[at : at + AT_ONCE], self.encoded(unknown[at : at + AT_ONCE])))
-        self.update((w, b"".join(map(self.runs.__getitem__, runs))) for w, runs in parted.items())
-        unknown = [w for w in new if w not in parted]
-        for at in range(0, len(unknown), AT_ONCE):
-            self.update(zip(unknown[at : at + AT_ONCE], self.encoded(unknown[at : at + AT_ONCE])))
-        found = [self[w] for w in words]
-        for w in new:
-            if len(w) > 64:
-                del self[w]
-                for run in parted.get(w, ()):
-                    if len(run) > 64:
-                        self.runs.pop(run, None)
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closing[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.known, self.codes = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+
+    def encoded(self, texts: list[str], each: int = 1) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts, of ``each`` words, one after the other, and where each ends."""
+        found, step = [np.empty(0, "<u4")], AT_ONCE // each
+        for at in range(0, len(texts), step):
+            batch = self.tokenizer.encode_batch_fast(texts[at : at + step], add_special_tokens=False)
+            found += [np.array(f.ids, "<u4") for f in batch]
+        return np.concatenate(found), np.cumsum([len(f) for f in found[1:]], dtype=np.int64)
+
+    def apart(self, words: pa.Array) -> pa.Array:
+        ids, ends = self.encoded(words.to_pylist())
+        return binary(ends, ids)
+
+    def together(self, words: pa.Array) -> pa.Array:
+        """The ids of plain words, ``JOINED`` of them in a text."""
+        listed = words.to_pylist()
+        joined = [" ".join(listed[i : i + JOINED]) for i in range(0, len(listed), JOINED)]
+        ids, _ = self.encoded(joined, JOINED)
+        runs = np.cumsum(pc.count_substring_regex(words, self.RUN).to_numpy(), dtype=np.int64)
+        closed = np.concatenate([[0], np.flatnonzero(self.closing[ids]) + 1])
+        if len(closed) - 1 != (runs[-1] if len(runs) else 0):  # a tokenizer with other runs
+            return self.apart(words)
+        return binary(closed[runs], ids)
+
+    def of(self, words: pa.Array) -> pa.Array:
+        """The ids of each of the different words; new ones go to the tokenizer together."""
+        words = words.cast(pa.large_string())
+        at = pc.fill_null(pc.index_in(words, value_set=self.known), -1).to_numpy().copy()
+        place = np.flatnonzero(at < 0)
+        plain = pc.match_substring_regex(words.take(pa.array(place)), self.PLAIN).to_numpy(zero_copy_only=False)
+        place = np.concatenate([place[plain], place[~plain]])
+        at[place] = len(self.known) + np.arange(len(place))
+        new, n = words.take(pa.array(place)), int(plain.sum())
+        ids = pa.concat_arrays([self.together(new.slice(0, n)), self.apart(new.slice(n))])
+        found = pa.concat_arrays([self.codes, ids]).take(pa.array(at))
+        if len(self.known) + len(new) > CACHED:  # only what is in use stays
+            known, codes = words, found
+        else:
+            known, codes = pa.concat_arrays([self.known, new]), pa.concat_arrays([self.codes, ids])
+        short = pc.less_equal(pc.utf8_length(known), 64)
+        if not pc.all(short).as_py():
+            known, codes = known.filter(short), codes.filter(short)
+        self.known, self.codes = known, codes
         return found
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -88,22 +119,22 @@ class Words(dict):
         after = lists.offsets.to_numpy().astype(np.int64)
         after -= after[0]
         coded = pc.dictionary_encode(lists.flatten())
-        word = coded.indices.to_numpy()
-        found = self.of(coded.dictionary.to_pylist())
-        found.append(np.array([END], "<u4").tobytes())
-        place = np.arange(len(word)) + np.repeat(np.arange(len(texts)), np.diff(after))
-        number = np.full(len(word) + len(texts), len(found) - 1)
-        number[place] = word
-        for row in np.flatnonzero(whole.to_numpy(zero_copy_only=False)).tolist():
-            number[after[row] + row] = len(found)  # the row's only word
-            found += self.encoded([texts[row].as_py()])
-        size = np.array([len(f) // 4 for f in found], np.int64)
-        first = np.cumsum(size) - size
-        sizes = size[number]
-        ends = np.cumsum(sizes)
-        at = np.repeat(first[number] - ends + sizes, sizes)
-        at += np.arange(len(at))
-        return np.frombuffer(b"".join(found), "<u4")[at], ends[after[1:] + np.arange(len(texts))]
+        words = len(coded.dictionary)
+        number = np.insert(coded.indices.to_numpy(), after[1:], words)  # each text's end
+        rows = np.flatnonzero(whole.to_numpy(zero_copy_only=False))
+        number[after[rows] + rows] = words + 1 + np.arange(len(rows))  # the row's only word
+        end = binary(np.array([1]), np.array([END]))
+        codes = [self.of(coded.dictionary), end, self.apart(texts.take(pa.array(rows)))]
+        gathered = pa.concat_arrays(codes).take(pa.array(number))
+        _, offsets, held = gathered.buffers()
+        ends = np.frombuffer(offsets, np.int64)[after[1:] + np.arange(1, len(texts) + 1)] // 4
+        return np.frombuffer(held, "<u4", ends[-1] if len(ends) else 0), ends
+
+
+@functools.cache
+def words_of(tokenizer: str) -> Words:
+    """A worker's words, kept for its later tasks."""
+    return Words(tokenizer)
 
 
 def parts(texts: pa.Array) -> Iterator[tuple[int, int]]:
@@ -122,7 +153,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
     """``doc_id, piece, start, length, ids_crc32``: the ids of each row, cut if too long."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(tokenizer)
+        words = words_of(tokenizer)
         for batch in batches:
             texts, out = batch["text"], []
             for first, last in parts(texts):

@@ -45,6 +45,32 @@ def test_words_give_the_tokenizers_own_ids(tokenizer):
     assert encoder.ids(sliced)[0].tolist() == ids[ends[1] : ends[10]].tolist()
 
 
+def test_words_share_texts_and_are_kept_for_later_tasks(tokenizer, monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = [" ".join(f"wörd{i}x's a{'b' * (i % 90)}" for i in range(at, at + 400)) for at in (0, 300, 600)]
+    texts.append("\u0417\u0434\u0440\u0430\u0432\u043e wörd1x's \xad\xd7 \xaa \xb5. caf\u00c9 cafe\u0301 A's'S ''t's 'rex")
+    want = [[*tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+    for cached in (1_000_000, 300, 0):
+        monkeypatch.setattr(grouped_packing, "CACHED", cached)
+        encoder, sent = grouped_packing.Words(path), []
+
+        class Counted:
+            def encode_batch_fast(self, batch, **options):
+                sent.extend(batch)
+                return tokenizer.encode_batch_fast(batch, **options)
+
+        encoder.tokenizer = Counted()
+        for _ in range(2):
+            for text, ids in zip(texts, want, strict=True):
+                assert encoder.ids(pa.array([text]))[0].tolist() == ids
+            if cached == 1_000_000:
+                assert len(sent) < 80  # of some 1400 words; those of over 64 letters are not kept
+                assert not any(t.startswith("wörd1x") for t in sent[1:])
+    encoder.closing[:] = False  # a tokenizer that marks no ends of words
+    assert encoder.ids(pa.array(texts[:1]))[0].tolist() == want[0]
+    assert grouped_packing.words_of(path) is grouped_packing.words_of(path)
+
+
 def test_texts_are_numbered_in_parts(monkeypatch):
     monkeypatch.setattr(grouped_packing, "TEXT", 10)
     texts = pa.array(["x", "aaaa", "bbbb", "", "c" * 40, "d", ""]).slice(1)
