@@ -89,7 +89,10 @@ class Words:
     def of(self, words: pa.Array) -> pa.Array:
         """The ids of each of the different words; new ones go to the tokenizer together."""
         words = words.cast(pa.large_string())
-        at = pc.fill_null(pc.index_in(words, value_set=self.known), -1).to_numpy().copy()
+        # Known words are looked up among the few of now: a table of all known ones would be large.
+        among = pc.fill_null(pc.index_in(self.known, value_set=words), -1).to_numpy()
+        at, met = np.full(len(words), -1), np.flatnonzero(among >= 0)
+        at[among[met]] = met
         place = np.flatnonzero(at < 0)
         plain = pc.match_substring_regex(words.take(pa.array(place)), self.PLAIN).to_numpy(zero_copy_only=False)
         place = np.concatenate([place[plain], place[~plain]])
@@ -152,23 +155,31 @@ def parts(texts: pa.Array) -> Iterator[tuple[int, int]]:
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32``: the ids of each row, cut if too long."""
 
+    def of(words: Words, texts: pa.Array, first: int) -> list[tuple]:
+        ids, ends = words.ids(texts)
+        held, start, out = memoryview(ids).cast("B"), 0, []
+        for row, end in enumerate(ends.tolist(), first):
+            for piece, at in enumerate(range(start, end, capacity)):
+                length = min(capacity, end - at)
+                out.append((row, piece, at - start, length, zlib.crc32(held[4 * at : 4 * (at + length)])))
+            start = end
+        return out
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = words_of(tokenizer)
         for batch in batches:
-            texts, out = batch["text"], []
-            for first, last in parts(texts):
-                ids, ends = words.ids(texts.slice(first, last - first))
-                held, start = memoryview(ids).cast("B"), 0
-                for row, end in enumerate(ends.tolist(), first):
-                    for piece, at in enumerate(range(start, end, capacity)):
-                        length = min(capacity, end - at)
-                        out.append((row, piece, at - start, length, zlib.crc32(held[4 * at : 4 * (at + length)])))
-                    start = end
+            out = []
+            for first, last in parts(batch["text"]):
+                out += of(words, batch["text"].slice(first, last - first), first)
+                # Else what Arrow has freed stays with the worker, also in all later stages.
+                pa.default_memory_pool().release_unused()
             row, piece, *rest = np.array(out, np.int64).reshape(-1, 5).T
             columns = [batch["doc_id"].take(pa.array(row)), pa.array(piece, pa.int32())]
+            del batch  # before the next one is read
             yield pa.RecordBatch.from_arrays(
                 columns + [pa.array(r) for r in rest], ["doc_id", "piece", "start", "length", "ids_crc32"]
             )
+        pa.default_memory_pool().release_unused()
 
     rows = pick(docs, doc_id="doc_id", text="text").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")

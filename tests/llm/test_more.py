@@ -3,6 +3,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -77,6 +78,26 @@ def test_texts_are_numbered_in_parts(monkeypatch):
     assert list(grouped_packing.parts(texts)) == [(0, 3), (3, 4), (4, 6)]
 
 
+def own_memory():
+    with open("/proc/self/smaps_rollup") as f:
+        return sum(int(line.split()[1]) for line in f if line.startswith("Pss_Anon:")) / 1024
+
+
+@pytest.mark.skipif(not Path("/proc/self/smaps_rollup").exists(), reason="memory can't be read here")
+def test_workers_give_memory_back_after_a_task(spark, monkeypatch):
+    docs, tasks = frame(spark), []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, function, schema: tasks.append(function))
+    grouped_packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
+    draw = random.Random(4)
+    known = ["".join(draw.choices("abcdefgh", k=6)) for _ in range(5000)]
+    texts = [" ".join(draw.choices(known, k=1000)) for _ in range(2000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(2000)), "text": texts})
+    assert sum(part.num_rows for part in tasks[0](iter([batch]))) == 2000
+    held = own_memory()
+    pa.default_memory_pool().release_unused()
+    assert held - own_memory() < 20
+
+
 def check_packed(got, docs, tokenizer, capacity):
     want = []
     for d, t, _, _ in docs:
